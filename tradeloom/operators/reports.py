@@ -6,7 +6,7 @@ number of files. A decoder outside this package produces them.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -330,17 +330,18 @@ _GRID_SCHEMA = "file_id string, row_idx long, col_idx long, text string, num dou
 def _band_grid(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Place the cells of rows sorted by file, band, row and cell.
 
-    ``open_columns`` maps a column to the cell that still covers it and its last row.
+    ``spans`` maps a column to the last row, label and number of the cell covering it.
     """
-    band, row, column, open_columns = None, None, 0, {}
+    band, row, column, spans = None, None, 0, {}
 
-    def covered(file_id, at_row, at_column):
-        while at_column in open_columns:
-            last, label, number = open_columns[at_column]
-            yield (file_id, at_row, at_column, label, number)
-            if last <= at_row:
-                del open_columns[at_column]
-            at_column += 1
+    def inherit() -> list[tuple]:
+        """Cells from earlier rows that cover the columns from ``column`` on."""
+        nonlocal column
+        taken = []
+        while column in spans and spans[column][0] >= row:
+            taken.append((band[0], row, column, *spans[column][1:]))
+            column += 1
+        return taken
 
     for batch in batches:
         placed = []
@@ -349,26 +350,21 @@ def _band_grid(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             batch["colspan"], batch["rowspan"], batch["text"], batch["num"],
         )
         for file_id, number, row_idx, colspan, rowspan, label, num in cells:
-            if row is not None and ((file_id, number) != band or row_idx != row):
-                placed += covered(band[0], row, column)  # spans that end the previous row
-            if (file_id, number) != band:
-                band, open_columns = (file_id, number), {}
-            if row_idx != row or column is None:
-                column = 0
-            row = row_idx
-            inherited = list(covered(file_id, row, column))
-            placed += inherited
-            column += len(inherited)
-            for offset in range(colspan):
-                placed.append((file_id, row, column + offset, label, num))
+            if (file_id, number, row_idx) != (*(band or (None, None)), row):
+                if row is not None:
+                    placed += inherit()
+                if (file_id, number) != band:
+                    band, spans = (file_id, number), {}
+                row, column = row_idx, 0
+            placed += inherit()
+            for at in range(column, column + colspan):
+                placed.append((file_id, row, at, label, num))
                 if rowspan > 1:
-                    open_columns[column + offset] = (row + rowspan - 1, label, num)
+                    spans[at] = (row + rowspan - 1, label, num)
             column += colspan
         yield pd.DataFrame(placed, columns=["file_id", "row_idx", "col_idx", "text", "num"])
     if row is not None:
-        tail = list(covered(band[0], row, column))
-        if tail:
-            yield pd.DataFrame(tail, columns=["file_id", "row_idx", "col_idx", "text", "num"])
+        yield pd.DataFrame(inherit(), columns=["file_id", "row_idx", "col_idx", "text", "num"])
 
 
 def span_expand(cells: DataFrame) -> DataFrame:
@@ -530,7 +526,13 @@ def matrix_to_long(cells: DataFrame, leaves: DataFrame, roles: DataFrame) -> Dat
         .groupBy("file_id", "partner_id")
         .agg(F.min_by("partner_name", "col_idx").alias("customer_raw"))
     )
-    partners = columns.drop("partner_name").join(selling, ["file_id", "partner_id"])
+    # A partner listed twice for a metric keeps its last column.
+    partners = (
+        columns.groupBy("file_id", "partner_id", "metric")
+        .agg(F.max(F.struct("col_idx", "scale")).alias("last"))
+        .select("file_id", "partner_id", "metric", "last.col_idx", "last.scale")
+        .join(selling, ["file_id", "partner_id"])
+    )
     figures = (
         cells.filter((F.col("row_idx") >= HEADER_ROWS) & F.col("num").isNotNull())
         .join(partners, ["file_id", "col_idx"])
@@ -538,10 +540,7 @@ def matrix_to_long(cells: DataFrame, leaves: DataFrame, roles: DataFrame) -> Dat
         .agg(
             F.min("customer_raw").alias("customer_raw"),
             *[
-                F.max_by(
-                    F.col("num") * F.col("scale"),
-                    F.when(F.col("metric") == metric, F.col("col_idx")),
-                ).alias(name)
+                F.max(F.when(F.col("metric") == metric, F.col("num") * F.col("scale"))).alias(name)
                 for metric, name in ((SALES_METRIC, "gross_sales"), (QUANTITY_METRIC, "quantity"))
             ],
         )
@@ -554,8 +553,3 @@ def matrix_to_long(cells: DataFrame, leaves: DataFrame, roles: DataFrame) -> Dat
         F.coalesce("gross_sales", F.lit(0.0)).alias("gross_sales"),
         F.coalesce("quantity", F.lit(0.0)).alias("quantity"),
     )
-
-
-def label_files(df: DataFrame, names: Mapping[str, Column]) -> DataFrame:
-    """Append columns computed from the file name."""
-    return df.withColumns(dict(names))
