@@ -185,7 +185,7 @@ def flat_report_a(df: DataFrame, company: str) -> DataFrame:
 
     The month is ``MM.YYYY``; truncated values fall back to the year and month numbers.
     """
-    dotted = F.try_to_date(F.concat(F.lit("01."), F.col("month_text")), F.lit("dd.MM.yyyy"))
+    dotted = F.try_to_date(F.concat(F.lit("01."), F.col("month_text")), "dd.MM.yyyy")
     year, month = F.col("year_no").try_cast("int"), F.col("month_no").try_cast("int")
     fallback = F.when(month.between(1, 12), F.make_date(year, month, F.lit(1)))
     channels = F.create_map(*[F.lit(p) for pair in ACCOUNT_GROUP_CHANNELS.items() for p in pair])

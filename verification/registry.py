@@ -20,9 +20,10 @@ class Inputs:
 
     spark: SparkSession
     folder: str
+    built: dict[str, DataFrame] = field(default_factory=dict)
 
     def __getattr__(self, name: str) -> DataFrame:
-        return views.frame(self.spark, self.folder, name)
+        return views.frame(self.spark, self.folder, name, self.built)
 
 
 @dataclass(frozen=True)

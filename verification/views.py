@@ -39,10 +39,12 @@ CURRENCY_AFTER = (
 SWITCH_MONTH = "case k when 3 then 199801 when 4 then 199707 when 5 then 199901 when 6 then 199806 else 199804 end"
 
 
-def currency(key: str, month: str) -> str:
-    """Currency code of nation ``key`` in ``month`` (a yyyymm number)."""
-    text = f"case when {month} <= {SWITCH_MONTH} then {CURRENCY_BEFORE} else {CURRENCY_AFTER} end"
-    return re.sub(r"\bk\b", key, text)
+def currency(relation: str, month: str) -> str:
+    """Currency in ``month`` (a yyyymm number) by a joined row of ``nation_currency``."""
+    return (
+        f"case when {month} <= {relation}.switch_ym then {relation}.code_before "
+        f"else {relation}.code_after end"
+    )
 
 
 def yyyymm(date: str) -> str:
@@ -50,6 +52,10 @@ def yyyymm(date: str) -> str:
 
 
 VIEWS: dict[str, str] = {
+    "nation_currency": f"""
+        select k, {SWITCH_MONTH} as switch_ym, {CURRENCY_BEFORE} as code_before,
+          {CURRENCY_AFTER} as code_after
+        from (select n_nationkey as k from {{nation}}) keys""",
     # Report lines in harmonised form; signs, zeros and NULLs make every event class occur.
     "facts": f"""
         select l.l_orderkey as order_key, l.l_linenumber as line_no,
@@ -77,8 +83,8 @@ VIEWS: dict[str, str] = {
           case when l.l_orderkey % 10 = 0 then null when l.l_orderkey % 10 = 1 then 0.0e0
             when l.l_orderkey % 10 = 2 or l.l_returnflag = 'R' then -l.l_extendedprice
             else l.l_extendedprice end as sales,
-          {currency('s.s_nationkey', yyyymm('l.l_shipdate'))} as billing_currency,
-          {currency('n.n_nationkey', yyyymm('l.l_shipdate'))} as local_currency,
+          {currency('sc', yyyymm('l.l_shipdate'))} as billing_currency,
+          {currency('nc', yyyymm('l.l_shipdate'))} as local_currency,
           case l.l_returnflag when 'N' then 20240101000000000 when 'A' then 20240201000000000
             else 20240301000000000 end as submission_id,
           case when p.p_size % 10 = 0 then 'SP_' || cast(p.p_size as string)
@@ -90,7 +96,9 @@ VIEWS: dict[str, str] = {
         join {{customer}} c on o.o_custkey = c.c_custkey
         join {{nation}} n on c.c_nationkey = n.n_nationkey
         join {{supplier}} s on l.l_suppkey = s.s_suppkey
-        join {{part}} p on l.l_partkey = p.p_partkey""",
+        join {{part}} p on l.l_partkey = p.p_partkey
+        join {{nation_currency}} sc on sc.k = s.s_nationkey
+        join {{nation_currency}} nc on nc.k = n.n_nationkey""",
     # Facts with their value in local currency; some rows found no rate.
     "valued_facts": """
         select f.*, case when f.order_key % 17 = 3 then null else f.sales * 1.23457219e0 end
@@ -141,14 +149,10 @@ VIEWS: dict[str, str] = {
         select distinct n.n_nationkey as k, {yyyymm('o.o_orderdate')} as ym
         from {{orders}} o join {{customer}} c on o.o_custkey = c.c_custkey
         join {{nation}} n on c.c_nationkey = n.n_nationkey""",
-    "currencies": f"""
-        select min(k) as id, code as currency_code from (
-          select n_nationkey as k, {re.sub(chr(92) + 'bk' + chr(92) + 'b', 'n_nationkey', CURRENCY_BEFORE)} as code
-          from {{nation}}
-          union all
-          select 100 + n_nationkey as k,
-            {re.sub(chr(92) + 'bk' + chr(92) + 'b', 'n_nationkey', CURRENCY_AFTER)} as code
-          from {{nation}}) c
+    "currencies": """
+        select min(id) as id, code as currency_code from (
+          select k as id, code_before as code from {nation_currency}
+          union all select 100 + k as id, code_after as code from {nation_currency}) c
         group by code""",
     "times": f"""
         select distinct {yyyymm('o_orderdate')} as id, year(o_orderdate) as year,
@@ -162,8 +166,8 @@ VIEWS: dict[str, str] = {
         from {{orders}}""",
     "countries_currencies": f"""
         select m.k as id_country, c.id as id_currency, m.ym as id_time
-        from {{nation_months}} m join {{currencies}} c
-          on c.currency_code = {currency('m.k', 'm.ym')}""",
+        from {{nation_months}} m join {{nation_currency}} nc on nc.k = m.k
+        join {{currencies}} c on c.currency_code = {currency('nc', 'm.ym')}""",
     # One quote per order: local currency against EUR or USD, with unreadable ones.
     "quotes": f"""
         select o.o_orderkey as id, {yyyymm('o.o_orderdate')} as id_time,
@@ -174,7 +178,8 @@ VIEWS: dict[str, str] = {
               as decimal(18, 4)) as string), '.', ',') end as exchange_rate
         from {{orders}} o join {{customer}} c on o.o_custkey = c.c_custkey
         join {{nation}} n on c.c_nationkey = n.n_nationkey
-        join {{currencies}} b on b.currency_code = {currency('n.n_nationkey', yyyymm('o.o_orderdate'))}
+        join {{nation_currency}} nc on nc.k = n.n_nationkey
+        join {{currencies}} b on b.currency_code = {currency('nc', yyyymm('o.o_orderdate'))}
         join {{currencies}} t on t.currency_code = case when o.o_custkey % 2 = 0 then 'EUR' else 'USD' end""",
 }
 
@@ -187,7 +192,8 @@ def expand(name: str, seen: dict[str, str] | None = None) -> dict[str, str]:
     text = VIEWS[name]
     for dependency in re.findall(r"\{(\w+)\}", text):
         expand(dependency, seen)
-    seen[name] = re.sub(r"\{(\w+)\}", r"\1", text)
+    # Spark quotes names with back-ticks, DuckDB with double quotes.
+    seen[name] = re.sub(r"\{(\w+)\}", r"\1", text).replace("`", '"')
     return seen
 
 
@@ -205,10 +211,13 @@ def with_clause(text: str) -> str:
     return f"with {parts}\n{body}"
 
 
-def frame(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table or relation as a DataFrame."""
-    if name in TABLES:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
-    text = VIEWS[name]
-    needs = set(re.findall(r"\{(\w+)\}", text))
-    return spark.sql(text, **{need: frame(spark, folder, need) for need in needs})
+def frame(spark: SparkSession, folder: str, name: str, built: dict[str, DataFrame]) -> DataFrame:
+    """A table or relation as a DataFrame; ``built`` keeps those already defined."""
+    if name not in built:
+        if name in TABLES:
+            built[name] = spark.read.parquet(f"{folder}/{name}.parquet")
+        else:
+            text = VIEWS[name]
+            needs = set(re.findall(r"\{(\w+)\}", text))
+            built[name] = spark.sql(text, **{n: frame(spark, folder, n, built) for n in needs})
+    return built[name]
