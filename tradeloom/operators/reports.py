@@ -14,7 +14,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tradeloom.functions import dates, text
-from tradeloom.operators.running import last_seen, running_max, running_sum
+from tradeloom.operators.running import last_seen, running
+from tradeloom.session import cut_lineage
 
 # Month column heads of the monthly sheets, January first.
 MONTH_COLUMNS = ("gen", "feb", "mar", "apr", "mag", "giu", "lug", "ago", "set", "ott", "nov", "dic")
@@ -308,10 +309,13 @@ def block_segments(rows: DataFrame) -> DataFrame:
         placeholder.alias("placeholder"),
         opens.cast("long").alias("opens"),
     )
-    segmented = running_sum(marked, ["file_id"], "row_idx", {"segment": F.col("opens")})
     named = ~F.col("placeholder") & F.col("familia").isNotNull()
-    carried = running_max(
-        segmented, ["file_id"], "row_idx", {"seen": last_seen("row_idx", named, F.col("familia"))}
+    carried = running(
+        marked,
+        ["file_id"],
+        "row_idx",
+        sums={"segment": F.col("opens")},
+        maxima={"seen": last_seen("row_idx", named, F.col("familia"))},
     )
     return (
         carried.filter(~F.col("placeholder"))
@@ -383,26 +387,33 @@ def span_expand(cells: DataFrame) -> DataFrame:
         "text",
         F.col("num").cast("double").alias("num"),
     )
-    rows = wide.groupBy("file_id", "row_idx").agg(
-        (F.col("row_idx") + F.max("rowspan") - 1).alias("reach")
+    # One row per sheet row: far fewer than cells, and read several times below.
+    rows = cut_lineage(
+        wide.groupBy("file_id", "row_idx").agg(
+            (F.col("row_idx") + F.max("rowspan") - 1).alias("reach")
+        )
     )
-    reached = running_max(
-        rows, ["file_id"], "row_idx", {"reached": F.col("reach")}, inclusive=False
+    reached = running(
+        rows, ["file_id"], "row_idx", maxima={"reached": F.col("reach")}, inclusive=False
     )
     starts = F.coalesce(F.col("reached") < F.col("row_idx"), F.lit(True))
-    banded = running_max(
-        reached, ["file_id"], "row_idx", {"band": F.when(starts, F.col("row_idx"))}
-    ).select("file_id", "row_idx", "band", (F.col("reach") > F.col("row_idx")).alias("spans"))
-    tied = banded.groupBy("file_id", "band").agg(F.max("spans").alias("tied"))
-    placed = wide.join(banded.join(tied, ["file_id", "band"]), ["file_id", "row_idx"])
-
+    banded = cut_lineage(
+        running(
+            reached, ["file_id"], "row_idx", maxima={"band": F.when(starts, F.col("row_idx"))}
+        ).select(
+            "file_id",
+            "row_idx",
+            "band",
+            (starts & (F.col("reach") == F.col("row_idx"))).alias("is_alone"),
+        )
+    )
     before = (
         W.partitionBy("file_id", "row_idx")
         .orderBy("cell_idx")
         .rowsBetween(W.unboundedPreceding, -1)
     )
     alone = (
-        placed.filter(~F.col("tied"))
+        wide.join(banded.filter("is_alone"), ["file_id", "row_idx"])
         .withColumn("first", F.coalesce(F.sum("colspan").over(before), F.lit(0)))
         .select(
             "file_id",
@@ -415,7 +426,7 @@ def span_expand(cells: DataFrame) -> DataFrame:
         )
     )
     walked = (
-        placed.filter("tied")
+        wide.join(banded.filter("not is_alone"), ["file_id", "row_idx"])
         .select("file_id", "band", "row_idx", "cell_idx", "colspan", "rowspan", "text", "num")
         .repartition("file_id", "band")
         .sortWithinPartitions("file_id", "band", "row_idx", "cell_idx")
@@ -480,7 +491,7 @@ def hierarchy_leaves(rows: DataFrame, levels: int = 6) -> DataFrame:
         f"head{n}": last_seen("row_idx", level == n, F.col("description"))
         for n in range(1, levels + 1)
     }
-    carried = running_max(rows, ["file_id"], "row_idx", heads)
+    carried = running(rows, ["file_id"], "row_idx", maxima=heads)
     path = []
     for n in range(1, levels + 1):
         own = F.col(f"head{n}.at")
@@ -536,13 +547,12 @@ def matrix_to_long(cells: DataFrame, leaves: DataFrame, roles: DataFrame) -> Dat
     figures = (
         cells.filter((F.col("row_idx") >= HEADER_ROWS) & F.col("num").isNotNull())
         .join(partners, ["file_id", "col_idx"])
-        .groupBy("file_id", "row_idx", "partner_id")
+        .groupBy("file_id", "row_idx", "partner_id", "customer_raw")
         .agg(
-            F.min("customer_raw").alias("customer_raw"),
             *[
                 F.max(F.when(F.col("metric") == metric, F.col("num") * F.col("scale"))).alias(name)
                 for metric, name in ((SALES_METRIC, "gross_sales"), (QUANTITY_METRIC, "quantity"))
-            ],
+            ]
         )
     )
     return leaves.join(figures, ["file_id", "row_idx"]).select(

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.operators import pricing
-from tradeloom.session import cut_lineage
 
 
 def price_inputs(harmonised: DataFrame) -> DataFrame:
@@ -26,23 +25,19 @@ def flag_producers(lines: DataFrame) -> DataFrame:
     )
 
 
-def valued_sellin(
-    lines: DataFrame, allow_future: bool = False, store: bool = True
-) -> DataFrame:
+def valued_sellin(lines: DataFrame, allow_future: bool = False) -> DataFrame:
     """Sell-in lines of ``split_panel(with_price_columns(...))`` with prices and amounts.
 
-    Priced producer lines are used twice, for the markups and for the amounts; ``store``
-    materialises them once in between.
+    A usable line prices its own key, so it ends without a price only if a part of the key
+    is missing. The markups therefore come straight from the flagged lines, and the priced
+    lines need not be computed twice or stored in between.
     """
-    producers = pricing.price_producers(
-        flag_producers(lines.filter(F.col("panel_segment") == "sellin_producer")),
-        allow_future=allow_future,
-    )
-    if store:
-        producers = cut_lineage(producers)
+    flagged = flag_producers(lines.filter(F.col("panel_segment") == "sellin_producer"))
+    priced = pricing.price_producers(flagged, allow_future=allow_future)
     dealers = lines.filter(F.col("panel_segment") == "sellin_dealer")
-    markups = pricing.markup(pricing.retail_price(lines), producers)
-    return pricing.valorize(producers, dealers, markups)
+    complete = flagged.dropna(subset=list(pricing.PRICE_KEYS))
+    markups = pricing.markup(pricing.retail_price(lines), complete)
+    return pricing.valorize(priced, dealers, markups)
 
 
 def valorise_panel(

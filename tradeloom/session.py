@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,19 +49,18 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise ValueError("Set spark.checkpoint.dir to a folder shared by all executors")
-    folder = context._jsc.sc().getCheckpointDir()
-    if folder.isDefined():
-        return folder.get()
-    created = tempfile.mkdtemp(prefix="tradeloom-checkpoint-")
-    context.setCheckpointDir(created)
+    created = tempfile.mkdtemp(prefix="tradeloom-")
+    spark.conf.set("spark.checkpoint.dir", created)
     return created
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once in the shared folder, so later uses agree on its rows."""
+    """Write ``df`` once as a Parquet table in the shared folder and read it back.
+
+    Later uses agree on its rows, survive lost executors, read only the columns they need,
+    and know its size, so Spark can broadcast it when it is small.
+    """
     spark = df.sparkSession
-    folder = shared_folder(spark)
-    context = spark.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(spark).rstrip('/')}/tradeloom-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -113,7 +113,7 @@ switches as (
 
 def _switches(i):
     return fx.currency_switches(
-        _fx_country(i), fx.switches_table(i.spark, SAME_CODE), fx.events_table(i.spark)
+        cut_lineage(_fx_country(i)), fx.switches_table(i.spark, SAME_CODE), fx.events_table(i.spark)
     )
 
 

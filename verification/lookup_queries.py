@@ -483,17 +483,22 @@ views.VIEWS["features"] = (
 views.VIEWS["measures"] = (
     "select p_size as id, cast(p_size as string) || ' mm' as measure from {part} group by p_size"
 )
-views.VIEWS["product_versions"] = """
-    select r.id * 10 + v.l_linenumber as id, r.id as id_prod, v.l_linenumber as version,
-      case when v.l_linenumber = 2 then p.p_name || ' II' else p.p_name end as description,
+_VERSION = """
+    select r.id * 10 + {v} as id, r.id as id_prod, {v} as version,
+      {description} as description,
       r.l_suppkey as id_dealer, b.id as id_brand, t.id as id_prefix_code, n.id as id_father_name,
       p.p_size as id_mc, p.p_size as id_pack, p.p_size as id_feature, p.p_size as id_measure
-    from {products} r join {part} p on r.l_partkey = p.p_partkey
-    join (select distinct l_linenumber from {lineitem} where l_linenumber <= 2) v
-      on v.l_linenumber = 1 or r.l_partkey % 2 = 0
-    left join {brands} b on b.brand = p.p_brand
-    left join {prefix_codes} t on t.prefix_code = p.p_type
-    left join {father_names} n on n.father_name = p.p_name"""
+    from {{products}} r join {{part}} p on r.l_partkey = p.p_partkey
+    left join {{brands}} b on b.brand = p.p_brand
+    left join {{prefix_codes}} t on t.prefix_code = p.p_type
+    left join {{father_names}} n on n.father_name = p.p_name"""
+# Every product has a first version; parts of odd size have a second one.
+views.VIEWS["product_versions"] = (
+    _VERSION.format(v=1, description="p.p_name")
+    + " union all "
+    + _VERSION.format(v=2, description="p.p_name || ' II'")
+    + " where p.p_size % 2 = 1"
+)
 views.VIEWS["master_code"] = """
     select p_size as id, p_size % 5 as id_mc_lvl1, p_size % 7 as id_mc_lvl2, p_size as id_mc_lvl3
     from {part} group by p_size"""
@@ -503,12 +508,10 @@ for _level, _modulus in ((1, 5), (2, 7), (3, 1000)):
         f"where p_size % 11 <> {_level} group by 1, 2"
     )
 views.VIEWS["pack_qty"] = """
-    select v.id * 2 + l.l_linenumber as id, v.id as id_prod_version,
-      cast(l.l_linenumber as int) as inner_count, l.l_linenumber * 1.5e0 as inner_qty,
-      v.id_pack % 3 as id_pack_measure_unit
-    from {product_versions} v
-    join (select distinct l_linenumber from {lineitem} where l_linenumber <= 2) l
-      on l.l_linenumber = 1 or v.id_pack % 2 = 0"""
+    select id * 2 + 1 as id, id as id_prod_version, 1 as inner_count, 1.5e0 as inner_qty,
+      id_pack % 3 as id_pack_measure_unit from {product_versions}
+    union all
+    select id * 2, id, 2, 3.0e0, id_pack % 3 from {product_versions} where id_pack % 2 = 0"""
 views.VIEWS["pack_measure_units"] = (
     "select p_size % 3 as id, 'U' || cast(p_size % 3 as string) as measure_unit from {part} "
     "where p_size % 3 <> 2 group by 1, 2"
@@ -595,7 +598,7 @@ master as (
 
 def master(i):
     tables = {
-        name: getattr(i, name)
+        name: i.stored(name) if name == "pack_qty" else getattr(i, name)
         for name in (
             "brands", "prefix_codes", "father_names", "packs", "features", "measures",
             "master_code", "mc_lvl1", "mc_lvl2", "mc_lvl3", "pack_qty", "pack_measure_units",

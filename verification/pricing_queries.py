@@ -29,6 +29,11 @@ def lines(i):
     return pricing.split_panel(pricing.with_price_columns(i.valued_facts))
 
 
+def stored_lines(i):
+    """Lines for plans that scan the harmonised table several times."""
+    return pricing.split_panel(pricing.with_price_columns(i.stored("valued_facts")))
+
+
 def _flag():
     return pricing.anomaly_flag(
         F.col("fx_transaction_lc"), F.col("quantity"), F.col("sellout_dm")
@@ -249,7 +254,7 @@ VALUED_COLUMNS = (
 
 @query("valorize", f"with {VALORISED} select {', '.join(VALUED_COLUMNS)} from valued", PRICE_DIGITS)
 def valorize(i):
-    return valorise.valued_sellin(lines(i)).select(*VALUED_COLUMNS)
+    return valorise.valued_sellin(stored_lines(i)).select(*VALUED_COLUMNS)
 
 
 @query(
@@ -262,7 +267,7 @@ def valorize(i):
       from valued group by all) c""",
 )
 def valuation_coverage(i):
-    return quality.valuation_coverage(valorise.valued_sellin(lines(i)))
+    return quality.valuation_coverage(valorise.valued_sellin(stored_lines(i)))
 
 
 views.VIEWS["consolidation"] = """
@@ -336,7 +341,7 @@ reference_prices as (
     {"_reference_price": FLOAT},
 )
 def sellout_reference_price(i):
-    return pricing.reference_price(valorise.valued_sellin(lines(i)))
+    return pricing.reference_price(valorise.valued_sellin(stored_lines(i)))
 
 
 @query(
@@ -354,7 +359,7 @@ def sellout_reference_price(i):
     {"amount_sellout": FLOAT, "pm_omogeneo": FLOAT},
 )
 def sellout_valorized(i):
-    tagged = lines(i)
+    tagged = stored_lines(i)
     valued = pricing.valorize_sellout(
         tagged.filter("panel_segment = 'sellout'"), valorise.valued_sellin(tagged)
     )
@@ -382,7 +387,7 @@ def sellout_valorized(i):
 )
 def panel_valorized(i):
     return (
-        valorise.valorise_panel(i.valued_facts)
+        valorise.valorise_panel(i.stored("valued_facts"))
         .groupBy("panel_segment", "company_type", "_original_period", "date")
         .agg(
             F.count("*").alias("n"),

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.session import configure
+from tradeloom.session import configure, cut_lineage
 from verification import views
 
 FLOAT = "float"  # compare rates of any size to float precision
@@ -25,6 +25,13 @@ class Inputs:
     def __getattr__(self, name: str) -> DataFrame:
         return views.frame(self.spark, self.folder, name, self.built)
 
+    def stored(self, name: str) -> DataFrame:
+        """A relation written once, as the table it stands for would be, and then scanned."""
+        key = f"{name} (stored)"
+        if key not in self.built:
+            self.built[key] = cut_lineage(getattr(self, name))
+        return self.built[key]
+
 
 @dataclass(frozen=True)
 class Query:

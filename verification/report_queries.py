@@ -75,7 +75,7 @@ long_lines as (
 
 
 def _long(i):
-    kept = reports.drop_total_rows(i.month_sheet, ["famiglia", "articolo"])
+    kept = reports.drop_total_rows(i.stored("month_sheet"), ["famiglia", "articolo"])
     named = kept.withColumns(
         {
             **reports.dataset_metadata(F.col("file_name")),
@@ -98,7 +98,7 @@ def _long(i):
 )
 def drop_total_rows(i):
     code = F.split(F.regexp_extract("articolo", r"\(([^()]*)\)\s*$", 1), " ")[0].try_cast("long")
-    return reports.drop_total_rows(i.month_sheet, ["famiglia", "articolo"]).select(
+    return reports.drop_total_rows(i.stored("month_sheet"), ["famiglia", "articolo"]).select(
         "file_name", code.alias("part_key")
     )
 
@@ -328,7 +328,7 @@ V["brand_sheet"] = """
       quantity from {brand_lines}""",
 )
 def block_segments(i):
-    return reports.block_segments(i.brand_sheet)
+    return reports.block_segments(i.stored("brand_sheet"))
 
 
 # ---------------------------------------------------------------------------- spanned grid
@@ -367,7 +367,7 @@ V["span_cells"] = """
       from body, unnest([0, 1, 2, 3]) as u(c)""",
 )
 def span_expand(i):
-    return reports.span_expand(i.span_cells)
+    return reports.span_expand(i.stored("span_cells"))
 
 
 # ----------------------------------------------------------------------------- matrix export
@@ -436,7 +436,7 @@ V["matrix_cells"] = f"""
       case when odd = 1 then 1 else 3 end as name_row from {matrix_lines}""",
 )
 def header_roles(i):
-    return reports.header_roles(i.matrix_cells)
+    return reports.header_roles(i.stored("matrix_cells"))
 
 
 def _sheet_rows(cells):
@@ -457,7 +457,7 @@ def _sheet_rows(cells):
     from {{matrix_lines}}""",
 )
 def hierarchy_leaves(i):
-    leaves = reports.hierarchy_leaves(_sheet_rows(i.matrix_cells))
+    leaves = reports.hierarchy_leaves(_sheet_rows(i.stored("matrix_cells")))
     return leaves.withColumn("categories", F.array_join("item_categories", "/")).drop(
         "item_categories"
     )
@@ -473,7 +473,7 @@ def hierarchy_leaves(i):
     {"gross_sales": 2, "quantity": 2},
 )
 def matrix_to_long(i):
-    cells = i.matrix_cells
+    cells = i.stored("matrix_cells")
     leaves = reports.hierarchy_leaves(_sheet_rows(cells))
     long = reports.matrix_to_long(cells, leaves, reports.header_roles(cells))
     return long.withColumn("categories", F.array_join("item_categories", "/")).drop(
