@@ -6,9 +6,11 @@ number of files. A decoder outside this package produces them.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -17,6 +19,9 @@ from tradeloom.functions import dates, text
 from tradeloom.operators.running import last_seen, running
 from tradeloom.session import cut_lineage
 
+# The two row walkers below travel with the job; executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Month column heads of the monthly sheets, January first.
 MONTH_COLUMNS = ("gen", "feb", "mar", "apr", "mag", "giu", "lug", "ago", "set", "ott", "nov", "dic")
 # Account group labels and the channel they stand for.
