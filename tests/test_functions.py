@@ -95,3 +95,11 @@ def test_mask_is_stable_and_keeps_null(spark):
     assert one(spark, masking.mask_customer(F.lit("Rossi"))) == f"CUSTOMER_{digest}"
     assert one(spark, masking.mask_customer(F.lit("Rossi"), privileged=True)) == "Rossi"
     assert one(spark, masking.mask_customer(F.lit(None).cast("string"))) is None
+
+
+def test_mask_is_callable_from_sql(spark):
+    masking.register_mask_function(spark)
+    row = spark.sql("select mask_customer('Rossi') as a, mask_customer(null) as b").first()
+    assert row["a"] == one(spark, masking.mask_customer(F.lit("Rossi"))) and row["b"] is None
+    masking.register_mask_function(spark, privileged_when="current_user() is not null")
+    assert spark.sql("select mask_customer('Rossi') as a").first()["a"] == "Rossi"
