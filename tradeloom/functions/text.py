@@ -75,8 +75,13 @@ def after_leading_digits(column: Column) -> Column:
 
 
 def decimal_text(column: Column) -> Column:
-    """Number written with a decimal comma; anything unreadable becomes NULL."""
-    return F.replace(F.trim(column), F.lit(","), F.lit(".")).try_cast("double")
+    """Number written with a decimal comma; anything unreadable becomes NULL.
+
+    Dashes and blanks fill most cells of a wide sheet; they are sorted out before the cast,
+    which is slow on text it cannot read.
+    """
+    number = F.replace(F.trim(column), F.lit(","), F.lit("."))
+    return F.when(~number.isin("-", ""), number.try_cast("double"))
 
 
 def mentions_word(columns: list[Column], word: str) -> Column:

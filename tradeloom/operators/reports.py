@@ -75,18 +75,14 @@ def unpivot_months(df: DataFrame, keep: Sequence[str]) -> DataFrame:
 
     Month columns hold text with decimal commas; ``-``, blanks and absent months are zero.
     """
-    months = F.array(
-        *[
-            F.struct(
-                F.lit(number).alias("month"),
-                (text.decimal_text(F.col(name)) if name in df.columns else F.lit(None))
-                .cast("double")
-                .alias("value"),
-            )
-            for number, name in enumerate(MONTH_COLUMNS, 1)
-        ]
-    )
-    return df.select(*keep, F.inline(months)).filter(F.col("value") != 0)
+    months = []
+    for number, name in enumerate(MONTH_COLUMNS, 1):
+        if name in df.columns:
+            value = text.decimal_text(F.col(name))
+            month = F.struct(F.lit(number).alias("month"), value.alias("value"))
+            months.append(F.when(value != 0, month))
+    # Empty months leave the array before rows are multiplied.
+    return df.select(*keep, F.inline(F.array_compact(F.array(*months))))
 
 
 def filename_metadata(name: Column) -> dict[str, Column]:
