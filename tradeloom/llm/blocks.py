@@ -47,16 +47,19 @@ def map_texts(
     kept = [df.schema[name] for name in keep]
     schema = T.StructType([*kept, *fields])
     width = len(kept)
+    at = list(keep).index(text) if text in keep else width
 
     def run(batches):
         names = [f.name for f in schema]
         for batch in batches:
-            for part in slices(batch, width):
-                texts = [t or "" for t in part.column(width).to_pylist()]
+            for part in slices(batch, at):
+                texts = [t or "" for t in part.column(at).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns[:width], *make(texts)], names)
 
     picked = [F.col(f"`{name}`").alias(f"_{i}") for i, name in enumerate(keep)]
-    return df.select(*picked, F.col(f"`{text}`").alias("_text")).mapInArrow(run, schema)
+    if at == width:
+        picked.append(F.col(f"`{text}`").alias("_text"))
+    return df.select(*picked).mapInArrow(run, schema)
 
 
 def mix(values: np.ndarray) -> np.ndarray:

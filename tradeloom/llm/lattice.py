@@ -16,7 +16,8 @@ from tradeloom.llm.store import Tables
 MARK = "▁"
 CODE_POINTS = 1_114_112
 END = " "  # cannot be a word: words hold no white space
-WORDS_AT_ONCE = 20_000
+WORDS_AT_ONCE = 50_000
+CELLS_AT_ONCE = 200_000  # characters of one block of words
 HEAD_WORDS = 50_000  # the most frequent words, whose scores every task gets; all others are joined
 COUNTER_LIMIT = 300_000
 ROUNDS = 3
@@ -77,7 +78,7 @@ class Lattice:
         lengths = np.array([len(w) + 1 for w in words])
         for length in np.unique(lengths):
             places = np.flatnonzero(lengths == length)
-            step = max(1, WORDS_AT_ONCE * 10 // int(length))
+            step = max(1, CELLS_AT_ONCE // int(length))
             for i in range(0, len(places), step):
                 part = places[i : i + step]
                 joined = "".join([MARK + words[p] for p in part])
@@ -180,6 +181,19 @@ def word_counts(docs: DataFrame, text: str, group: str, groups: int) -> DataFram
 NAMES = ["word", "k", "n"]
 
 
+def gathered(batches):
+    """Batches of about WORDS_AT_ONCE rows, so that words of one length are many."""
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= WORDS_AT_ONCE:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, rows = [], 0
+    if rows:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def learn(words: DataFrame, pieces: list[str], groups: int, rounds: int = ROUNDS) -> np.ndarray:
     """Piece probabilities of each class that fit its distinct words, by expectation maximisation from equal ones.
 
@@ -194,7 +208,7 @@ def learn(words: DataFrame, pieces: list[str], groups: int, rounds: int = ROUNDS
 
         def expect(batches, log_p=log_p):
             lattice, total = Lattice(pieces, log_p), np.zeros((groups, size))
-            for batch in batches:
+            for batch in gathered(batches):
                 every = np.array(batch.column(0).to_pylist(), dtype=object)
                 for k in range(groups):
                     own = every[batch.column(k + 1).to_numpy() > 0].tolist()
@@ -229,9 +243,10 @@ def score_documents(
     held = F.col(f"`{held_out}`")
     named = F.coalesce(F.col(f"`{group}`").cast("string"), F.lit(""))
     flagged = docs.select("doc_id", F.col(f"`{text}`").alias("_text"), held.alias("_held"), named.alias("_name"))
-    common = flagged.where(~F.col("_held")).groupBy("_name").count().orderBy(F.desc("count"), "_name").limit(GROUPS)
+    common = flagged.where(~F.col("_held")).groupBy("_name").count().orderBy(F.desc("count"), "_name").limit(GROUPS + 1)
     names = [r["_name"] for r in common.collect()]
-    groups = len(names) + 1
+    groups = max(1, len(names))  # with more than GROUPS values the last class is that of all others
+    names = names[:GROUPS]
     number = F.lit(groups - 1)
     for k, name in enumerate(names):
         number = F.when(F.col("_name") == name, k).otherwise(number)
@@ -261,7 +276,7 @@ def score_documents(
 
     def score(batches):
         lattice = Lattice(pieces, log_p)
-        for batch in batches:
+        for batch in gathered(batches):
             count = np.stack([batch.column(k + 1).to_numpy() for k in range(groups)]).astype(float)
             spelled = np.log(novel)[:, None] + lattice.score(batch.column(0).to_pylist())
             with np.errstate(divide="ignore"):

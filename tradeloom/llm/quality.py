@@ -180,23 +180,28 @@ def score_quality(
     odds of the path's posterior against the global prior add up. NULL and empty texts are judged by their
     features (no words); repeated rows get equal scores. Sites are joined back by Spark's choice of join.
     """
+    names = [f"_{i}" for i in range(len(keep))]
+    body = names[keep.index(text)] if text in keep else "_text"
     sited = docs.select(
-        *[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(keep)],
+        *[F.col(f"`{c}`").alias(name) for c, name in zip(keep, names)],
         F.coalesce(host.cast("string"), F.lit("\0")).alias("host"),
         F.coalesce(path.cast("string"), F.lit("\0")).alias("path"),
-        F.col(f"`{text}`").alias("_text"),
+        *([] if text in keep else [F.col(f"`{text}`").alias("_text")]),
     )
 
     def make(texts: list[str]) -> list[pa.Array]:
         return [pa.array(classifier.log_odds(features(texts)))]
 
-    names = [f"_{i}" for i in range(len(keep))]
-    scored = map_texts(sited, [*names, "host", "path"], "_text", make, [T.StructField("evidence", T.DoubleType())])
-    scored = tables.put(scored)
+    def judged(columns: list[str]) -> DataFrame:
+        return map_texts(sited, [*columns, "host", "path"], body, make, [T.StructField("evidence", T.DoubleType())])
+
+    # Whole texts are not stored for the sites' sake: their evidence is computed again when they are kept.
+    stored = tables.put(judged([] if text in keep else names))
+    scored = judged(names) if text in keep else stored
     p = 1 / (1 + F.exp(-F.col("evidence")))
-    overall = scored.agg(F.avg(p)).first()[0]
+    overall = stored.agg(F.avg(p)).first()[0]
     prior = min(1 - 1e-6, max(1e-6, classifier.prior if overall is None else overall))
-    sites = tables.put(site_posteriors(scored.select("host", "path", p.alias("p")), prior))
+    sites = tables.put(site_posteriors(stored.select("host", "path", p.alias("p")), prior))
     shift = _logit(F.col("path_rate")) - _logit(F.lit(prior))
     bounded = F.greatest(F.least(shift, F.lit(SPREAD_LIMIT)), F.lit(-SPREAD_LIMIT))
     quality = 1 / (1 + F.exp(-(F.col("evidence") + bounded)))

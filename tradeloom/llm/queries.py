@@ -68,15 +68,14 @@ def op4_winnowing(spark: SparkSession, folder: str) -> DataFrame:
     return winnow.with_following(table(spark, folder, "documents"))
 
 
-def toxic_scores(docs: DataFrame, grammar: toxicity.Grammar, keep: list[str]) -> DataFrame:
+def toxic_scores(docs: DataFrame, labels: DataFrame, keep: list[str]) -> DataFrame:
+    grammar = toxicity.learn_grammar(docs, labels, ~held_out("doc_id", 5))
     return toxicity.score_toxicity(docs, grammar, keep)
 
 
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
-    grammar = toxicity.learn_grammar(docs, labels, ~held_out("doc_id", 5))
-    scored = toxicity.score_toxicity(docs, grammar, ["doc_id"])
-    return scored.select(
+    return toxic_scores(docs, labels, ["doc_id"]).select(
         "doc_id",
         held_out("doc_id", 5).alias("held_out"),
         "score",
