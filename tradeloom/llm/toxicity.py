@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradeloom.llm.blocks import map_texts, slices
+from tradeloom.llm.logistic import Classifier, fit
 
 LABEL_LIMIT = 40_000  # labelled texts that the grammar is learned from, in order of a hash of their ids
 LEXICON_LIMIT = 5_000  # insult terminals kept, the strongest first
+PURE = 9  # toxic texts of a terminal for each clean one
 STEMS = (4, 5, 6, 7)  # letters of word stems tried besides whole words
 CHANCE = 0.01  # accepted number of terminals that all labels of a chance word would give
 
@@ -47,8 +49,8 @@ class Grammar:
     emits its weight times the weight of its context; all other tokens emit nothing.
     """
 
-    def __init__(self, words: dict[str, float], stems: dict[str, float], contexts: dict[str, float], start: float):
-        self.words, self.stems, self.contexts, self.start = words, stems, contexts, start
+    def __init__(self, words: dict[str, float], stems: dict[str, float], contexts: dict[str, float], model: Classifier):
+        self.words, self.stems, self.contexts, self.model = words, stems, contexts, model
         self.sizes = sorted({len(s) for s in stems})
         self.cache: dict[str, tuple[int, float]] = {}
 
@@ -100,13 +102,12 @@ class Grammar:
             found.append((context, weight, tokens[i]))
         return found
 
-    def score(self, matches: list[tuple[str, float, str]]) -> float:
-        """Probability from the start weight and the distinct matched terms; each counts in its strongest context."""
+    def evidence(self, matches: list[tuple[str, float, str]], size: int) -> tuple[float, float, float]:
+        """Sum of the weights of the distinct matched terms (each in its strongest context), their number, length."""
         best: dict[str, float] = {}
         for context, weight, token in matches:
-            value = weight * self.contexts[context]
-            best[token] = max(value, best.get(token, -math.inf))
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.start + sum(best.values())))))
+            best[token] = max(weight * self.contexts[context], best.get(token, 0.0))
+        return min(sum(best.values()), 20.0), min(len(best), 6), math.log1p(size)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, used, limit: int) -> DataFrame:
@@ -126,7 +127,8 @@ def learn_grammar(docs: DataFrame, labels: DataFrame, used, limit: int = LABEL_L
 
     A word or word stem becomes an insult terminal if far more toxic than clean texts hold it than chance
     allows; its weight is its smoothed log ratio. Copies of a text count once. Context weights compare how
-    often matches in each context stand in toxic texts.
+    often matches in each context stand in toxic texts. The evidence of each text, with the weights that all
+    other texts give, is turned into a probability by a logistic model of three numbers.
     """
     sample = labelled_sample(docs, labels, "toxic", used, limit).groupBy("text").agg(F.max("y").alias("y"))
 
@@ -161,36 +163,48 @@ def learn_grammar(docs: DataFrame, labels: DataFrame, used, limit: int = LABEL_L
     rate = (toxic + 0.5) / (toxic + clean + 1)
     least = max(3, math.ceil(math.log(CHANCE / 1e6) / math.log(rate)))
     weight = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
-    # A terminal's texts must be toxic nine times in ten.
-    strong = sums.where((F.col("toxic") >= least) & (F.col("toxic") >= 9 * F.col("clean"))).withColumn("weight", weight)
+    strong = sums.where((F.col("toxic") >= least) & (F.col("toxic") >= PURE * F.col("clean"))).withColumn("weight", weight)
     kept = strong.orderBy(F.desc(F.col("weight") * F.sqrt("toxic")), "term", "stem").limit(LEXICON_LIMIT).collect()
-    words = {r["term"]: r["weight"] for r in kept if not r["stem"] and r["term"] not in CLOSED}
+    kept = [r for r in kept if r["stem"] or r["term"] not in CLOSED]
+    words = {r["term"]: r["weight"] for r in kept if not r["stem"]}
     stems = {r["term"]: r["weight"] for r in kept if r["stem"]}
-    start = math.log(rate / (1 - rate))
-    draft = Grammar(words, stems, dict.fromkeys(CONTEXTS, 1.0), start)
+    seen_with = {(r["term"], r["stem"]): (r["toxic"], r["clean"]) for r in kept}
+    draft = Grammar(words, stems, dict.fromkeys(CONTEXTS, 1.0), None)
+
+    def without_own(token: str, y: int) -> float:
+        """Weight of a token from all texts but one that holds it; 0 where it would then be no terminal."""
+        best = 0.0
+        for key in [(token, 0), *[(token[:size], size) for size in STEMS if len(token) >= size]]:
+            if key in seen_with:
+                bad, good = seen_with[key][0] - y, seen_with[key][1] - (1 - y)
+                if bad >= least and bad >= PURE * good:
+                    best = max(best, math.log((bad + 0.5) / (toxic + 1)) - math.log((good + 0.5) / (clean + 1)))
+        return best
 
     def tally(batches):
         for batch in batches:
-            seen = Counter()
+            rows = []
             for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                seen.update((context, y) for context in {m[0] for m in draft.matches(text)})
-            keys = list(seen)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k for k, _ in keys], pa.string()), pa.array([y for _, y in keys], pa.int32()), pa.array(list(seen.values()), pa.int64())],
-                ["context", "y", "n"],
-            )
-
-    tallied = sample.select("text", "y").mapInArrow(tally, "context string, y int, n long")
-    by = {(r["context"], r["y"]): r["n"] for r in tallied.groupBy("context", "y").agg(F.sum("n").alias("n")).collect()}
+                matches = draft.matches(text)
+                left = [(c, w if t in THREATS else without_own(t, y), t) for c, w, t in matches]
+                own = draft.evidence([m for m in left if m[1] > 0], len(text))
+                rows.append({"y": y, "x": list(own), "contexts": sorted({m[0] for m in left if m[1] > 0})})
+            yield pa.RecordBatch.from_pylist(rows, tallies)
+
+    tallies = pa.schema([("y", pa.int32()), ("x", pa.list_(pa.float64())), ("contexts", pa.list_(pa.string()))])
+    rows = sample.select("text", "y").mapInArrow(tally, "y int, x array<double>, contexts array<string>").collect()
+    by = Counter((context, r["y"]) for r in rows for context in r["contexts"])
     # A context's weight is its purity among matches, pulled towards all matches with 20 texts.
     hits, bad = sum(by.values()), sum(n for (_, y), n in by.items() if y)
     overall = (bad + 1) / (hits + 1) if hits else 1.0
     contexts = {}
     for context in CONTEXTS:
-        n, b = by.get((context, 0), 0) + by.get((context, 1), 0), by.get((context, 1), 0)
+        n, b = by[context, 0] + by[context, 1], by[context, 1]
         purity = (b + 20 * overall) / (n + 20)
         contexts[context] = min(1.0, max(0.0, (purity - rate) / max(overall - rate, 1e-6)))
-    return Grammar(words, stems, contexts, start)
+    x = np.array([r["x"] for r in rows], dtype=float).reshape(len(rows), 3)
+    model = fit(x, np.array([r["y"] for r in rows], dtype=float))
+    return Grammar(words, stems, contexts, model)
 
 
 NAMES = ["term", "stem", "toxic", "clean"]
@@ -199,13 +213,14 @@ NAMES = ["term", "stem", "toxic", "clean"]
 def score_toxicity(docs: DataFrame, grammar: Grammar, keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` columns, ``score`` (0 to 1) and ``matched`` terms of every whole text.
 
-    NULL and empty texts match nothing and get the start score; repeated rows get equal scores. A narrow pass;
+    NULL and empty texts match nothing and get the score of that; repeated rows get equal scores. A narrow pass;
     the grammar is bounded by LEXICON_LIMIT.
     """
 
     def make(texts: list[str]) -> list[pa.Array]:
         found = [grammar.matches(t) for t in texts]
-        scores = np.array([grammar.score(f) for f in found], dtype=float)
+        x = np.array([grammar.evidence(f, len(t)) for f, t in zip(found, texts)], dtype=float).reshape(len(texts), 3)
+        scores = 1 / (1 + np.exp(-grammar.model.log_odds(x)))
         return [pa.array(scores), pa.array([sorted({m[2] for m in f}) for f in found], pa.list_(pa.string()))]
 
     fields = [T.StructField("score", T.DoubleType()), T.StructField("matched", T.ArrayType(T.StringType()))]
