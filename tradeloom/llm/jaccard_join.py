@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -48,22 +49,21 @@ def digest(values: np.ndarray) -> int:
     return int(mix(np.array([total]))[0].view(np.int64)) if len(values) else 0
 
 
-def signature(values: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+def signature(values: np.ndarray) -> np.ndarray:
     """The smallest of each hash function over a set, as 32-bit integers."""
-    out = np.empty(len(seeds), dtype=np.uint32)
-    for i, seed in enumerate(seeds):
-        x = (values ^ seed) * np.uint64(0xD6E8FEB86659FD93)
-        x ^= x >> np.uint64(32)
-        out[i] = ((x * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).min()
-    return out
+    out = np.full(SIGNATURE, 0xFFFFFFFF, dtype=np.uint64)
+    for start in range(0, len(values), 4096):
+        hashed = (values[None, start : start + 4096] * FACTORS[:, None]) >> np.uint64(32)
+        out = np.minimum(out, hashed.min(axis=1))
+    return out.astype(np.uint32)
 
 
-SEEDS = mix(np.arange(1, SIGNATURE + 1, dtype=np.uint64))
+FACTORS = mix(np.arange(1, SIGNATURE + 1, dtype=np.uint64)) | np.uint64(1)
 
 
 def _sketch(texts: list[str]) -> list[pa.Array]:
     sets = shingle_sets(texts)
-    marks = [signature(s, SEEDS).view(np.int32) if len(s) else None for s in sets]
+    marks = [signature(s).view(np.int32) if len(s) else None for s in sets]
     return [
         pa.array([digest(s) for s in sets], pa.int64()),
         pa.array([len(s) for s in sets], pa.int32()),
@@ -72,21 +72,44 @@ def _sketch(texts: list[str]) -> list[pa.Array]:
 
 
 def _split(rows: DataFrame) -> DataFrame:
-    """Children of every (bucket, node, marks) row: one for each token that the bucket's seed samples."""
+    """Children (bucket, node) of every (bucket, node, marks) row: one for each token that the bucket's seed samples."""
     share = THRESHOLD[1] / (THRESHOLD[0] * SIGNATURE)
     seeds = F.filter(
         F.sequence(F.lit(0), F.lit(SIGNATURE - 1)),
         lambda i: F.pmod(F.xxhash64("bucket", i), F.lit(1 << 30)) < int(share * (1 << 30)),
     )
     spread = rows.select("bucket", "node", "marks", F.explode(seeds).alias("i"))
-    return spread.select(F.xxhash64("bucket", "i", F.get("marks", F.col("i"))).alias("bucket"), "node", "marks")
+    return spread.select(F.xxhash64("bucket", "i", F.get("marks", F.col("i"))).alias("bucket"), "node")
+
+
+def _promising(batches):
+    """Of each bucket the members that some other member resembles by its marks, split where none connects them.
+
+    A pair at the threshold agrees on fewer than half of its marks with probability below 1 in 10 million.
+    """
+    for batch in batches:
+        out = []
+        for members in batch.column(0).to_pylist():
+            marks = np.array([m["marks"] for m in members], dtype=np.int64)
+            alike = (marks[:, None, :] == marks[None, :, :]).sum(axis=2) * 2 >= SIGNATURE
+            place = np.arange(len(members))
+            while True:
+                after = np.where(alike, place[None, :], len(members)).min(axis=1)
+                if (after == place).all():
+                    break
+                place = after
+            for low in np.unique(place):
+                own = np.flatnonzero(place == low)
+                if len(own) > 1:
+                    out.append(sorted(members[i]["node"] for i in own))
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.int64()))], ["members"])
 
 
 def chosen_paths(nodes: DataFrame, tables: Tables) -> tuple[DataFrame, DataFrame]:
-    """Small buckets (bucket, members) and rows (bucket, node) of dense ones, from nodes (node, marks).
+    """Small buckets (members) and rows (bucket, node) of dense ones, from nodes (node, marks).
 
     Every run starts a tree of its own. A bucket splits on tokens that its seed samples until it is small or
-    DEPTH levels deep; single members drop out.
+    DEPTH levels deep; single members drop out. Equal buckets of several runs are looked at once.
     """
     starts = F.explode(F.array(*[F.lit(r).cast("long") for r in range(runs_needed())])).alias("bucket")
     rows, small = _split(nodes.select(starts, "node", "marks")), []
@@ -95,19 +118,21 @@ def chosen_paths(nodes: DataFrame, tables: Tables) -> tuple[DataFrame, DataFrame
         rows = tables.put(rows)
         sizes = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
         few = rows.join(sizes.where(f"n <= {SMALL}"), "bucket").groupBy("bucket")
-        small.append(tables.put(few.agg(F.sort_array(F.collect_list("node")).alias("members")).select("members")))
+        few = few.agg(F.sort_array(F.collect_list("node")).alias("members")).select("members")
+        small.append(tables.put(few.distinct()))
         many = rows.join(sizes.where(f"n > {SMALL}").select("bucket"), "bucket")
         if level + 1 < DEPTH:
-            after = tables.put(_split(many))
+            after = tables.put(_split(many.join(nodes.select("node", "marks"), "node")))
             tables.drop(rows)
             rows = after
         else:
             dense = tables.put(many.select("bucket", "node"))
             tables.drop(rows)
-    found = small[0]
-    for more in small[1:]:
-        found = found.unionAll(more)
-    return found.distinct(), dense
+    found = reduce(DataFrame.unionAll, small).distinct()
+    members = found.select(F.xxhash64("members").alias("bucket"), F.explode("members").alias("node"))
+    marked = members.join(nodes.select("node", "marks"), "node").groupBy("bucket")
+    marked = marked.agg(F.collect_list(F.struct("node", "marks")).alias("members")).select("members")
+    return marked.mapInArrow(_promising, "members array<long>").distinct(), dense
 
 
 def compare(group: pa.Table) -> pa.Table:
@@ -117,6 +142,8 @@ def compare(group: pa.Table) -> pa.Table:
     block meets itself; returns each member's linked documents and the smallest member it is connected to.
     """
     bucket, first, second = (group.column(c)[0].as_py() for c in ("bucket", "first", "second"))
+    _, one_each = np.unique(group.column("node").to_numpy(), return_index=True)  # ids that repeat bring a node twice
+    group = group.take(pa.array(one_each))
     names = group.column("node").to_numpy()
     block = group.column("block").to_numpy()
     copies = group.column("copies").to_numpy().astype(float)
@@ -211,7 +238,7 @@ def jaccard_classes(docs: DataFrame, tables: Tables, text: str = "text") -> Data
         return [pa.array([digest(s) for s in own], pa.int64()), lists]
 
     added = [T.StructField("own", T.LongType()), T.StructField("tokens", T.ArrayType(T.LongType()))]
-    found = map_texts(found, kept, "text", sets, added).where("own = node").dropDuplicates(["node"])
+    found = map_texts(found, kept, "text", sets, added).where("own = node")
     spread = found.select(
         "node",
         "copies",
