@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import types
 from collections.abc import Callable, Iterator, Sequence
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -101,9 +102,11 @@ class Words:
         self.start, self.end = edges[::2], edges[1::2]
         self.doc = np.searchsorted(self.text_start, self.start, "right") - 1
         self.bounds = np.searchsorted(self.doc, np.arange(len(texts) + 1))
-        self.hash = self._hash(codes, inside)
+        self._codes, self._inside = codes, inside
 
-    def _hash(self, codes: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    @cached_property
+    def hash(self) -> np.ndarray:
+        codes, inside = self._codes, self._inside
         if not len(self.start):
             return np.zeros(0, np.uint64)
         lower = np.arange(1, 257, dtype=np.uint64)
