@@ -181,6 +181,19 @@ def word_counts(docs: DataFrame, text: str, group: str, groups: int) -> DataFram
 NAMES = ["word", "k", "n"]
 
 
+def head_bound(scored: DataFrame) -> int:
+    """The smallest count (a power of 2 ** (1 / 8), rounded up) that at most HEAD_WORDS words reach."""
+    step = F.floor(8 * F.log2(F.greatest(F.col("c"), F.lit(1)))).cast("int")
+    sizes = scored.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect()  # at most 512 rows
+    words, bound = 0, None
+    for row in sizes:
+        words += row["count"]
+        if words > HEAD_WORDS:
+            break
+        bound = row["step"]
+    return (1 << 62) if bound is None else max(1, int(np.ceil(2 ** (bound / 8) - 1e-9)))
+
+
 def gathered(batches):
     """Batches of about WORDS_AT_ONCE rows, so that words of one length are many."""
     held, rows = [], 0
@@ -289,7 +302,7 @@ def score_documents(
     kinds = ", ".join(f"{name} double" for name in own_names)
     scored = counts.where(~is_end).mapInArrow(score, f"word string, c long, base double, {kinds}")
     scored = tables.put(scored)
-    top = scored.orderBy(F.desc("c"), "word").limit(HEAD_WORDS).collect()
+    top = scored.where(F.col("c") >= head_bound(scored)).collect()
     head = {r["word"].encode("utf-8", "surrogatepass"): (int(r["c"] > 0), *r[2:]) for r in top}
 
     def walk(batches):
