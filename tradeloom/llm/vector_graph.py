@@ -16,7 +16,7 @@ SAMPLE = 20_000  # vectors the shard centres are fitted on, in order of a hash
 SHARD = 1_000  # vectors a shard is meant to hold
 CENTRES = 2_048
 OVERLAP = 4  # shards of each vector
-BLOCK = 2_000  # vectors of one block of a shard that holds more; blocks are searched in pairs
+BLOCK = 1_000  # vectors of one block of a shard that holds more; blocks are searched in pairs
 POOL = 48  # nearest vectors that pruning chooses from
 DEGREE = 16
 ALPHA = 1.2
@@ -77,7 +77,11 @@ def pruned_graph(x: np.ndarray) -> np.ndarray:
             break
         kept = near[rows, at]
         out[live, k] = kept[live]
-        between = np.sqrt(np.maximum(0, 2 - 2 * np.einsum("nd,npd->np", x[kept], x[near])))
+        between = np.empty_like(far)
+        for i in range(0, n, 256):  # few rows at once: their pools' vectors are copied
+            part = slice(i, i + 256)
+            between[part] = 2 - 2 * np.einsum("nd,npd->np", x[kept[part]], x[near[part]])
+        between = np.sqrt(np.maximum(0, between))
         open_ &= ~((ALPHA * between <= far) & live[:, None])
         open_[rows, at] = False
     return out
@@ -94,7 +98,9 @@ def search(x: np.ndarray, edges: list[np.ndarray], threshold: float) -> list[np.
     now, best = np.full(n, medoid), x @ x[medoid]
     for _ in range(n):
         step = padded[now]
-        alike = np.einsum("nd,nwd->nw", x, x[step])
+        alike = np.concatenate(
+            [np.einsum("nd,nwd->nw", x[i : i + 256], x[step[i : i + 256]]) for i in range(0, n, 256)]
+        )
         at = np.argmax(alike, axis=1)
         better = alike[np.arange(n), at] > best
         if not better.any():
@@ -143,31 +149,29 @@ def _walk(threshold: float):
                     edges[i].add(j)
                     edges[j].add(i)  # links hold both ways
         found = search(x, [np.array(sorted(e) or [i]) for i, e in enumerate(edges)], threshold)
-        shards = [set(s) for s in group.column("shards").to_pylist()]
-        links, root = np.zeros(len(names), dtype=np.int64), np.arange(len(names))
-        linked = [set() for _ in names]
+        linked = np.zeros((len(names), len(names)), dtype=bool)
         for i, own in enumerate(found):
-            for j in own.tolist():
-                linked[i].add(j)
-                linked[j].add(i)
-        for i, own in enumerate(linked):
-            for j in own:
-                if first != second and block[i] == block[j]:
-                    continue
-                if min(shards[i] & shards[j]) == shard:
-                    links[i] += copies[j]
+            linked[i, own] = True
+        del found
+        linked |= linked.T
+        counted = linked if first == second else linked & (block[:, None] != block[None, :])
+        lists = group.column("shards").to_pylist()
+        earlier = sorted({s for own in lists for s in own if s < shard})  # a pair counts in its first common shard
+        held = np.zeros((len(names), max(1, len(earlier))), dtype=np.float32)
+        for i, own in enumerate(lists):
+            held[i, [k for k, s in enumerate(earlier) if s in own]] = 1
+        links = (counted & (held @ held.T == 0)) @ copies.astype(float)
         order = np.argsort(names)
-        rank = np.empty_like(order)
-        rank[order] = np.arange(len(order))
-        root = rank.copy()
-        changed = True
-        while changed:
-            changed = False
-            for i, own in enumerate(linked):
-                low = min((root[j] for j in own), default=root[i])
-                if low < root[i]:
-                    root[i], changed = low, True
-        arrays = [pa.array(names), pa.array(links), pa.array(names[order[root]])]
+        linked = linked[np.ix_(order, order)]
+        root = np.arange(len(names))
+        while True:
+            after = np.array([root[own].min(initial=root[i]) for i, own in enumerate(linked)])
+            after = after[after]
+            if (after == root).all():
+                break
+            root = after
+        names, links = names[order], links[order].astype(np.int64)
+        arrays = [pa.array(names), pa.array(links), pa.array(names[root])]
         return pa.Table.from_arrays(arrays, ["node", "links", "root"])
 
     return run
