@@ -3,11 +3,11 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tradeloom.operators import fx, lookup, pricing, reports
+from tradeloom.operators import fx, lookup, pricing, quality, reports
 from tradeloom.operators.running import last_seen, running
 from tradeloom.operators.surrogate import with_surrogate
 from tradeloom.plans import valorise
-from tradeloom.sources import sinks
+from tradeloom.sources import mapping, sinks
 
 D = datetime.date
 
@@ -352,3 +352,37 @@ def test_repeated_keys_add_up_when_files_are_merged(spark):
     assert [tuple(r[c] for c in ("item_description", "quantity", "gross_sales", "file_name")) for r in out] == [
         ("desc q", 3.0, 9.0, "q.xlsx | v.xlsx"), ("only v", 0.0, 4.0, "v.xlsx"),
     ]
+
+
+def test_mapping_of_a_long_table(spark):
+    rows = [(f"Other {i}", "sales", "FLOAT") for i in range(20_000)] + [(" Item-Code ", "item_code", "string")] * 2
+    table = spark.createDataFrame(rows, "original_field string, proposed_field string, data_types_found string")
+    kind = next(iter(mapping.MAPPING_TYPES))
+    table = table.withColumn("data_types_found", F.lit(kind))
+    found = mapping.mapping_from_table(table, ["ITEM CODE", "unmapped"])
+    assert found == {"itemcode": mapping.Target("item_code", mapping.MAPPING_TYPES[kind])}
+    clash = table.unionAll(table.limit(1).select(F.lit("item code"), F.lit("sales"), F.lit(kind)))
+    with pytest.raises(ValueError, match="Conflicting"):
+        mapping.mapping_from_table(clash, ["item_code"])
+
+
+def test_failed_checks_are_all_named(spark):
+    checks = spark.createDataFrame([(f"check_{i:03d}", i % 2 == 0) for i in range(400)], "check_name string, passed boolean")
+    with pytest.raises(ValueError) as caught:
+        quality.require_passed(checks)
+    assert str(caught.value).count("check_") == 200
+
+
+def test_columns_are_picked_in_any_case(spark):
+    df = spark.createDataFrame([(1, 2)], "`ID_Channel` int, `Name` int")
+    assert lookup.pick_column(df, ["id", None, "id_channel"]) == "ID_Channel"
+    assert lookup.pick_column(df, ["code"]) is None
+
+
+def test_a_file_without_metric_fails_the_merge(spark):
+    lines = spark.createDataFrame(
+        [("a", "2024-01-01", "x", None, 1.0, "a_2024.xlsx")],
+        "dataset_key string, date string, item_code string, metric_type string, value double, file_name string",
+    )
+    with pytest.raises(Exception, match="Unknown metric"):
+        reports.merge_metric_files(lines).collect()

@@ -133,8 +133,11 @@ def merge_metric_files(
     ``lines`` holds both files in long form (``metric_type``, ``value``, descriptive
     columns, ``file_name``). One grouped pass replaces a full outer join, so a frequent
     key is combined before the shuffle and repeated keys add up instead of multiplying.
-    Descriptions come from the quantity file when it has the key.
+    Descriptions come from the quantity file when it has the key. A file whose name tells
+    no known metric fails the merge: its amounts would be lost.
     """
+    unknown = F.raise_error(F.concat(F.lit("Unknown metric of file "), F.coalesce("file_name", F.lit("?"))))
+    lines = lines.withColumn("metric_type", F.coalesce("metric_type", unknown.cast("string")))
     is_quantity = F.col("metric_type") == "quantity"
     described = [
         c for c in lines.columns if c not in (*keys, "metric_type", "value", "file_name")
@@ -420,7 +423,8 @@ def span_expand(cells: DataFrame) -> DataFrame:
             "file_id",
             "row_idx",
             F.explode(
-                F.sequence(F.col("first"), F.col("first") + F.col("colspan") - 1)
+                # A span of 0 covers one column, as everywhere else.
+                F.sequence(F.col("first"), F.col("first") + F.greatest(F.col("colspan"), F.lit(1)) - 1)
             ).alias("col_idx"),
             "text",
             "num",
@@ -472,9 +476,11 @@ def header_roles(cells: DataFrame) -> DataFrame:
     code = F.greatest(
         *[F.when(F.col("scenario_row") != i, part(i)) for i in (1, 2, 3)]
     )
+    missing = F.raise_error(F.concat(F.lit("No scenario row in file "), F.col("file_id").cast("string")))
+    found = F.coalesce(F.col("scenario_row").cast("long"), missing.cast("long"))
     return per_file.withColumn("code_row", (-code["rank"]).cast("long")).select(
         "file_id",
-        F.col("scenario_row").cast("long").alias("scenario_row"),
+        found.alias("scenario_row"),
         "code_row",
         (6 - F.col("scenario_row") - F.col("code_row")).cast("long").alias("name_row"),
     )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.functions import dates
 from tradeloom.functions.companies import canonical_company, company_from_landing_name
-from tradeloom.operators.lookup import first_existing
+from tradeloom.operators.lookup import pick_column
 
 # Type names of mapping tables and the column types they mean.
 MAPPING_TYPES = {
@@ -70,7 +70,6 @@ COMMON_SCHEMA = {
     "file_name": "string",
 }
 COLLECTION = "sell-out"  # fixed value
-MAPPING_ROW_LIMIT = 10_000
 
 
 class Target(NamedTuple):
@@ -105,14 +104,22 @@ def read_mapping(rows: Iterable[tuple[str, str, str]]) -> dict[str, Target]:
     return mapping
 
 
-def mapping_from_table(table: DataFrame) -> dict[str, Target]:
-    """Read a mapping table: configuration with one row per source column, checked to be small."""
-    rows = table.select("original_field", "proposed_field", "data_types_found").take(
-        MAPPING_ROW_LIMIT + 1
+def mapping_from_table(table: DataFrame, columns: Iterable[str]) -> dict[str, Target]:
+    """Mapping of the given source columns from a table of any length.
+
+    Rows are reduced to the columns' keys on the cluster; two targets of a key are enough to see a conflict,
+    so at most two rows per column come back. Rows with a blank are skipped.
+    """
+    names = ("original_field", "proposed_field", "data_types_found")
+    original, proposed, kind = (F.trim(F.coalesce(F.col(name), F.lit(""))) for name in names)
+    key = F.regexp_replace(F.lower(original), "[^a-z0-9]+", "")
+    wanted = sorted({field_key(name) for name in columns})
+    rows = table.where((original != "") & (proposed != "") & (kind != "")).where(key.isin(wanted))
+    target = F.struct(proposed.alias("proposed"), F.upper(kind).alias("kind"))
+    found = rows.groupBy(key.alias("key")).agg(F.min(target).alias("low"), F.max(target).alias("high")).collect()
+    return read_mapping(
+        (r["key"], side["proposed"], side["kind"]) for r in found for side in (r["low"], r["high"])
     )
-    if len(rows) > MAPPING_ROW_LIMIT:
-        raise ValueError("A mapping table holds one row per source column; this one is too long")
-    return read_mapping(tuple(row) for row in rows)
 
 
 def _period_columns(df: DataFrame, mapping: Mapping[str, Target]) -> dict[str, Column]:
@@ -278,7 +285,7 @@ def reference_fields(df: DataFrame, landing: str, field_map: Mapping[str, str |
     """Company, customer, country and channel texts of a landing, one row per combination."""
 
     def pick(field: str) -> Column | None:
-        name = first_existing(df, (field_map.get(field), *REFERENCE_CANDIDATES[field]))
+        name = pick_column(df, (field_map.get(field), *REFERENCE_CANDIDATES[field]))
         return None if name is None else F.trim(F.col(f"`{name}`").cast("string"))
 
     null = F.lit(None).cast("string")
