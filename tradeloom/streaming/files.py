@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from tradeloom.streaming.stores import read_or_empty, stream_identity
+
 COMPANY_PATTERN = r"^(company_\d+)_"  # default key at the start of a file name
 # The columns the binary file source gives, stated so the stream needs no inference.
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+PUBLISHED = "position int, generation string"
 
 
 def file_stream(
@@ -35,6 +40,12 @@ def file_stream(
     )
 
 
+def _published(spark: SparkSession, target: str) -> Row | None:
+    """The generation published last."""
+    known = read_or_empty(spark, f"{target}/published", PUBLISHED)
+    return known.agg(F.max(F.struct("position", "generation")).alias("newest")).first()["newest"]
+
+
 def register_files(
     spark: SparkSession,
     folder: str,
@@ -47,21 +58,30 @@ def register_files(
 ) -> DataFrame:
     """Register the files that arrived since the last run, then return the registry.
 
-    The checkpoint remembers the files seen, so a rerun adds only new ones. A full refresh
-    empties the registry and starts from a checkpoint of its own.
+    A registry is a generation: a folder of its own below ``target`` and a checkpoint of its
+    own below ``checkpoint`` that remembers the files seen. The first run and every full
+    refresh fill a new generation and publish it when the stream has drained, so a refresh
+    that fails leaves the registry as it was. Later runs go on with the published one; they
+    fail where its checkpoint is missing, because files would be registered twice. Runs on
+    one target must not overlap.
     """
-    if full_refresh:
-        spark.createDataFrame([], file_stream(spark, folder, batch_id, company_pattern, **options).schema).write.mode(
-            "overwrite"
-        ).parquet(target)
-        checkpoint = f"{checkpoint}/refresh-{batch_id}"
+    newest = _published(spark, target)
+    fresh = full_refresh or newest is None
+    generation = uuid.uuid4().hex if fresh else newest["generation"]
+    own = f"{checkpoint}/{generation}"
+    if not fresh and stream_identity(spark, own) is None:
+        raise ValueError(f"{own} holds no checkpoint of {target}; give the one in use or ask for a full refresh")
+    stream = file_stream(spark, folder, batch_id, company_pattern, **options)
     query = (
-        file_stream(spark, folder, batch_id, company_pattern, **options)
-        .writeStream.format("parquet")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
+        stream.writeStream.format("parquet")
+        .option("path", f"{target}/generations/{generation}")
+        .option("checkpointLocation", own)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return spark.read.parquet(target)
+    if fresh:
+        position = 0 if newest is None else newest["position"] + 1
+        entry = spark.createDataFrame([(position, generation)], PUBLISHED)
+        entry.coalesce(1).write.mode("append").parquet(f"{target}/published")
+    return read_or_empty(spark, f"{target}/generations/{generation}", stream.schema)

@@ -6,19 +6,46 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructType
 
 from tradeloom.plans.marts import latest_version
+from tradeloom.streaming.stores import read_or_empty, stream_identity
 
+BUCKETS = 16  # parts of a new target; keys are dealt to them by hash
+OWNER = "origin string, buckets int"
 
-def append_submissions(stream: DataFrame, target: str, checkpoint: str) -> None:
-    """Land every micro-batch in its own ``epoch`` folder of ``target`` until the source is drained.
+
+def _owner(spark: SparkSession, target: str):
+    return read_or_empty(spark, f"{target}/owner", OWNER).first()
+
+
+def land_batch(batch: DataFrame, folder: str) -> None:
+    batch.write.mode("overwrite").partitionBy("_bucket").parquet(folder)
+
+
+def append_submissions(
+    stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str], buckets: int = BUCKETS
+) -> None:
+    """Land every micro-batch in its own ``_epoch`` folder of the target's log until the source is drained.
 
     A batch that is replayed after a failure overwrites its own folder, so each row is
-    stored exactly once without a transactional table format.
+    stored exactly once without a transactional table format. Epochs are numbered by the
+    checkpoint; the target therefore belongs to the first one that wrote to it, and any
+    other is refused. The number of buckets stays as the target began.
     """
+    spark = stream.sparkSession
+    owner = _owner(spark, target)
+    if owner is not None and owner["origin"] != stream_identity(spark, checkpoint):
+        raise ValueError(f"{target} belongs to another checkpoint than {checkpoint}")
+    parts = owner["buckets"] if owner is not None else buckets
 
     def land(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/epoch={epoch}")
+        session = batch.sparkSession
+        if _owner(session, target) is None:
+            claim = session.createDataFrame([(stream_identity(session, checkpoint), parts)], OWNER)
+            claim.coalesce(1).write.mode("overwrite").parquet(f"{target}/owner")
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int")
+        land_batch(batch.withColumn("_bucket", bucket), f"{target}/log/_epoch={epoch}")
 
     query = (
         stream.writeStream.foreachBatch(land)
@@ -29,15 +56,46 @@ def append_submissions(stream: DataFrame, target: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def current_submissions(
-    spark: SparkSession, target: str, keys: Sequence[str], version: str
-) -> DataFrame:
+def _log(spark: SparkSession, target: str, schema: StructType) -> DataFrame:
+    placed = StructType([*schema.fields]).add("_epoch", LongType()).add("_bucket", IntegerType())
+    return read_or_empty(spark, f"{target}/log", placed)
+
+
+def refresh_current(
+    spark: SparkSession, target: str, schema: StructType, keys: Sequence[str], version: str
+) -> None:
+    """Rewrite the current rows of the buckets that epochs landed in since the last refresh.
+
+    Every bucket is derived from the log alone, so a refresh that failed halfway is
+    repeated by the next one; other buckets are neither read nor written.
+    """
+    log = _log(spark, target, schema)
+    applied = read_or_empty(spark, f"{target}/applied", "epoch long").agg(F.max("epoch")).first()[0]
+    fresh = log.where(F.col("_epoch") > (-1 if applied is None else applied))
+    touched = fresh.groupBy("_bucket").agg(F.max("_epoch").alias("epoch")).collect()  # a row for each bucket
+    if not touched:
+        return
+    affected = log.where(F.col("_bucket").isin([r["_bucket"] for r in touched])).drop("_epoch")
+    (
+        latest_version(affected, [F.col(k) for k in keys], version)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("_bucket")
+        .parquet(f"{target}/current")
+    )
+    done = spark.createDataFrame([(max(r["epoch"] for r in touched),)], "epoch long")
+    done.coalesce(1).write.mode("append").parquet(f"{target}/applied")
+
+
+def current_submissions(spark: SparkSession, target: str, schema: StructType) -> DataFrame:
     """Rows of the newest version of each key among everything landed so far."""
-    return latest_version(spark.read.parquet(target).drop("epoch"), [F.col(k) for k in keys], version)
+    placed = StructType([*schema.fields]).add("_bucket", IntegerType())
+    return read_or_empty(spark, f"{target}/current", placed).drop("_bucket")
 
 
 def apply_resubmissions(
     stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str], version: str
 ) -> DataFrame:
-    append_submissions(stream, target, checkpoint)
-    return current_submissions(stream.sparkSession, target, keys, version)
+    append_submissions(stream, target, checkpoint, keys)
+    refresh_current(stream.sparkSession, target, stream.schema, keys, version)
+    return current_submissions(stream.sparkSession, target, stream.schema)
