@@ -267,38 +267,43 @@ def unmapped_report(i):
     return quality.unmapped_report(i.facts, "channel_raw", "channel")
 
 
+# One expected company for each nation never reports.
+ABSENT = "concat('Absent ', n_name)"
+
+
 @query(
     "expected_sources",
-    """with present as (
-      select distinct company from {facts} where destination_country = 'Spain'
-        and channel = 'Retail' and date between date '1998-07-01' and date '1998-12-31')
-    select s_name as company, 'missing' as status from {supplier}
-    where s_acctbal > 0 and s_name not in (select company from present)
+    f"""with present as (
+      select distinct company from {{facts}} where date between date '1998-07-01' and date '1998-12-31'),
+    expected as (
+      select s_name as company from {{supplier}} where s_acctbal > 0
+      union all select {ABSENT} from {{nation}})
+    select company, 'missing' as status from expected
+    where company not in (select company from present)
     union all
     select company, 'unexpected' from present
-    where company not in (select s_name from {supplier} where s_acctbal > 0)""",
+    where company not in (select company from expected)""",
 )
 def expected_sources(i):
-    sold = i.facts.filter("destination_country = 'Spain' and channel = 'Retail'")
     expected = i.supplier.filter("s_acctbal > 0").select(F.col("s_name").alias("company"))
-    return quality.expected_sources(sold, expected, 1998, "H2")
+    absent = i.nation.select(F.expr(ABSENT).alias("company"))
+    return quality.expected_sources(i.facts, expected.unionByName(absent), 1998, "H2")
 
 
 @query(
     "source_audit",
-    """select 'landing_' || lower(s_name) as table_name,
-      case when s_name in (select company from {facts} where destination_country = 'Spain'
-        and channel = 'Retail' and date < date '1996-01-01') then 'found' else 'missing' end as status
-    from {supplier}""",
+    f"""select 'landing_' || lower(name) as table_name,
+      case when name in (select company from {{facts}}) then 'found' else 'missing' end as status
+    from (select s_name as name from {{supplier}} union all select {ABSENT} from {{nation}}) expected""",
 )
 def source_audit(i):
     def named(df, column):
         return df.select(F.concat(F.lit("landing_"), F.lower(column)).alias("table_name"))
 
-    landed = i.facts.filter(
-        "destination_country = 'Spain' and channel = 'Retail' and date < date '1996-01-01'"
+    expected = i.supplier.select(F.col("s_name").alias("name")).unionByName(
+        i.nation.select(F.expr(ABSENT).alias("name"))
     )
-    return quality.source_audit(named(i.supplier, "s_name"), named(landed, "company"))
+    return quality.source_audit(named(expected, "name"), named(i.facts, "company"))
 
 
 # ------------------------------------------------------------------------------ streams
@@ -309,10 +314,16 @@ def _run_id(i) -> str:
     return i.spark.range(1).select(F.uuid()).first()[0]
 
 
-@query("file_registry")
+@query(
+    "file_registry",
+    "select t || '.parquet' as file_name, t as company_name, 'parquet' as file_extension, "
+    "'batch-1' as batch_id from (values "
+    + ", ".join(f"('{name}')" for name in views.TABLES)
+    + ") tables(t)",
+)
 def file_registry(i):
     root = f"{shared_folder(i.spark)}/registry-{_run_id(i)}"
-    return files.register_files(
+    found = files.register_files(
         i.spark,
         i.folder,
         "batch-1",
@@ -323,6 +334,7 @@ def file_registry(i):
         recursiveFileLookup="true",
         maxFilesPerTrigger="1000",
     )
+    return found.select("file_name", "company_name", "file_extension", "batch_id")
 
 
 @query(
