@@ -386,3 +386,28 @@ def test_a_file_without_metric_fails_the_merge(spark):
     )
     with pytest.raises(Exception, match="Unknown metric"):
         reports.merge_metric_files(lines).collect()
+
+
+def test_one_row_is_staged_for_each_unknown_key(spark):
+    found = spark.createDataFrame(
+        [("FOO", "foo"), ("FOO", "Foo"), ("BAR", "bar")], "country_join_key string, country_raw string"
+    )
+    staged = spark.createDataFrame([("BAR",)], "country_join_key string")
+    assert [tuple(r) for r in lookup.stage_unknown(found, staged).collect()] == [("FOO", "Foo")]
+
+
+def test_flagged_line_takes_an_earlier_price_and_keeps_its_flag(spark):
+    rows = [
+        ("H1", "SPAIN", 0, 10.0, 100.0), ("H2", "SPAIN", 1, 0.0, 5.0), ("H2", "ITALY", 1, 0.0, 5.0),
+    ]
+    lines = spark.createDataFrame(
+        [("c", "i", key, "EUR", 2024, half, flag, n, amount) for half, key, flag, n, amount in rows],
+        "company string, item_code string, _dest_key string, billing_currency string, _year int, "
+        "_semester string, is_no_media int, quantity double, fx_transaction_lc double",
+    )
+    found = {
+        (r["_dest_key"], r["_semester"]): (r["pm_omogeneo"], r["is_no_media"])
+        for r in pricing.price_producers(lines).collect()
+    }
+    # Only usable lines may borrow a neighbouring country's price.
+    assert found == {("SPAIN", "H1"): (10.0, 0), ("SPAIN", "H2"): (10.0, 1), ("ITALY", "H2"): (None, 1)}

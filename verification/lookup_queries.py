@@ -220,7 +220,9 @@ def country_lookup(i):
       alias_id as id_country, 0 as validated, 'PENDING' as validation_status
     from mapped where country is null
       and upper(country_raw) not in (select 'NATION_' || (n_nationkey + 1) from {{nation}}
-        where n_nationkey % 10 = 8)""",
+        where n_nationkey % 10 = 8)
+    qualify row_number() over (partition by upper(country_raw)
+      order by country_raw nulls first, country_iso_name nulls first, alias_id nulls first) = 1""",
 )
 def unknown_value_staging(i):
     staged = i.nation.filter("n_nationkey % 10 = 8").select(

@@ -208,11 +208,12 @@ def retail_markup(i):
     return pricing.markup(pricing.retail_price(tagged), producers)
 
 
-# A usable producer line sells its own key, so its price is never missing here; prices of
-# flagged lines are looked up the same way.
+# A usable producer line sells its own key, so its price is never missing here and no
+# neighbour is asked. Flagged lines take the latest price up to their own semester.
 VALORISED = f"""{LINES}, {RETAIL}, {MARKUP},
 own_prices as (
   select company, item_code, _dest_key, billing_currency, _year, _semester,
+    _year * 2 + case when _semester = 'H2' then 1 else 0 end as idx,
     sum(fx_transaction_lc) / sum(quantity) as price
   from lines where panel_segment = 'sellin_producer' and flag = 0
   group by all having sum(fx_transaction_lc) / sum(quantity) > 0),
@@ -220,8 +221,10 @@ producers as (
   select l.*, case when l.flag = 2 then l.fx_transaction_lc / l.quantity else o.price end
       as pm_omogeneo,
     m.avg_retail_price, m.markup
-  from lines l left join own_prices o
-    using (company, item_code, _dest_key, billing_currency, _year, _semester)
+  from lines l asof left join own_prices o
+    on l.company = o.company and l.item_code = o.item_code and l._dest_key = o._dest_key
+      and l.billing_currency = o.billing_currency
+      and l._year * 2 + case when l._semester = 'H2' then 1 else 0 end >= o.idx
   left join markups m on m.sellout_dm = l.sellout_dm and m._year = l._year
     and m._semester = l._semester
   where l.panel_segment = 'sellin_producer'),
