@@ -118,6 +118,22 @@ def test_passages(spark, docs, none):
 
 
 # 2
+def test_passages_do_not_depend_on_blocks(spark, monkeypatch):
+    shared = words(80, 41)
+    texts = [" ".join([*words(40 + i, 50 + i), *shared, *words(30, 70 + i)]) for i in range(6)]
+    rows = [*enumerate(texts), (3, texts[3]), (4, " ".join(words(90, 99)))]  # an id with equal, one with unlike rows
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+
+    def found():
+        out = passages.repeated_passages(docs, Tables(spark)).select("doc_id", "source_id", F.inline("passages"))
+        return {(r.doc_id, r.source_id, r["from"], r.to) for r in out.collect()}
+
+    whole = found()
+    assert whole == {(i, 0, 40 + i, 120 + i) for i in range(1, 6)}
+    monkeypatch.setattr(passages, "WINDOW_BYTES", 1)  # each text a block
+    assert found() == whole
+
+
 def test_url_rules_and_trees(spark):
     rows = [(i, f"http://s{i % 7}.example.{('net', 'com', 'org')[i % 3]}/{('en', 'de', 'fr')[i // 3 % 3]}/{i}?a=1#x", 1) for i in range(90)]
     rows += [(200, None, 1), (201, "", 1), (202, "no scheme", 1), (203, "HTTP://A.Example.NET", 1), (203, "HTTP://A.Example.NET", 1)]

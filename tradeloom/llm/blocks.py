@@ -27,10 +27,10 @@ def worker_store() -> dict:
     return sys.modules[name].store
 
 
-def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """Cut a batch where the bytes of its text column pass BLOCK_BYTES."""
+def slices(batch: pa.RecordBatch, column: int, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut a batch where the bytes of its text column pass ``limit``."""
     sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64)
-    groups = np.cumsum(sizes) // BLOCK_BYTES
+    groups = np.cumsum(sizes) // limit
     cuts = [0, *(np.flatnonzero(np.diff(groups)) + 1).tolist(), batch.num_rows]
     for a, b in zip(cuts, cuts[1:]):
         if b > a:
