@@ -117,6 +117,19 @@ def test_passages(spark, docs, none):
     assert passages.passage_classes(none, Tables(spark)).count() == passages.remove_passages(none, Tables(spark)).count() == 0
 
 
+def test_passages_span_insertions():
+    for n, extra in ((80, 7), (90, 10), (98, 14), (400, 60)):
+        plain = words(n, 200 + n)
+        longer = [*plain[: n // 2], *words(extra, 300 + n), *plain[n // 2 :]]
+        sides = [[*words(30, i), *body, *words(30, i + 1)] for i, body in ((11, plain), (13, longer))]
+        shingles, bounds = Words([" ".join(s) for s in sides]).shingles()
+        x, y = shingles[: bounds[1]], shingles[bounds[1] :]
+        for later, first, size in ((y, x, n + extra), (x, y, n)):
+            found = passages.passages_of(later, first)
+            assert [(p, q + 4) for p, q, _ in found] == [(30, 30 + size)]
+            assert found[0][2] == pytest.approx((n - 8) / (n + extra), abs=1e-9)  # four shingles are cut on the plain side
+
+
 # 2
 def test_passages_do_not_depend_on_blocks(spark, monkeypatch):
     shared = words(80, 41)
