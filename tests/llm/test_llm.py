@@ -130,6 +130,21 @@ def test_passages_span_insertions():
             assert found[0][2] == pytest.approx((n - 8) / (n + extra), abs=1e-9)  # four shingles are cut on the plain side
 
 
+def test_recall_of_edited_passages(spark):
+    rows, pairs = [], 400
+    for k in range(pairs):
+        first = words(100, 20_000 + k)
+        later = [f"edit{i}" if i in (33, 66) else w for i, w in enumerate(first)]  # similarity 86 / 106
+        rows.append((2 * k, " ".join([*words(40, 30_000 + k), *first, *words(40, 40_000 + k)])))
+        rows.append((2 * k + 1, " ".join([*words(40, 50_000 + k), *later, *words(40, 60_000 + k)])))
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {r.doc_id: (r.source_id, r.passages) for r in passages.repeated_passages(table, Tables(spark)).collect()}
+    assert all(d % 2 and s == d - 1 for d, (s, _) in found.items())
+    whole = sum(any(p["to"] - p["from"] >= 90 for p in own) for _, own in found.values())
+    print("found", len(found), "whole", whole, "of", pairs)
+    assert whole >= 0.99 * pairs
+
+
 # 2
 def test_passages_do_not_depend_on_blocks(spark, monkeypatch):
     shared = words(80, 41)
