@@ -130,6 +130,25 @@ def test_passages_span_insertions():
             assert found[0][2] == pytest.approx((n - 8) / (n + extra), abs=1e-9)  # four shingles are cut on the plain side
 
 
+def test_no_anchor_hides_later_copies(spark):
+    rows = []
+    for k in range(40):
+        shared = words(80, 1000 + k)
+        version = [f"edit{i}" if i % 20 == 10 else w for i, w in enumerate(shared)]  # similarity under 0.8
+        line = [*words(50, 2000 + k), *shared[:30], *words(50, 3000 + k)]  # a line of under 50 words
+        bodies = [version, line, [*words(40, 4000 + k), *shared], [*words(60, 5000 + k), *shared, *words(9, 6000 + k)]]
+        edited = [*shared[:40], "one", "word", "more", *shared[40:]]
+        rows += [(10 * k + i, " ".join(body)) for i, body in enumerate([*bodies, [*words(30, 7000 + k), *edited]])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = defaultdict(set)
+    for r in passages.repeated_passages(docs, Tables(spark)).collect():
+        found[r.doc_id].update((r.source_id, p["from"], p["to"]) for p in r.passages)
+    for k in range(40):
+        assert (10 * k + 2, 60, 140) in found[10 * k + 3], k
+        assert min(p for _, p, _ in found[10 * k + 4]) == 30 and max(q for _, _, q in found[10 * k + 4]) == 113, k
+        assert not found[10 * k] and not found[10 * k + 1] and not found[10 * k + 2]
+
+
 def test_recall_of_edited_passages(spark):
     rows, pairs = [], 400
     for k in range(pairs):
