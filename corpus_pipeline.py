@@ -24,10 +24,19 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies; documents without an id stay."""
-    found = jaccard_join.jaccard_classes(docs, Tables(spark))
-    copies = found.where("class_id < doc_id").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of near copies: of those with the smallest id (NULL is the largest) the first in a
+    stored table. Rows that repeat an id and rows without one are rows like all others."""
+    tables = Tables(spark)
+    columns = [F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(docs.columns)]
+    rows = tables.put(docs.select(F.monotonically_increasing_id().alias("row"), *columns))
+    back = dict(zip(docs.columns, (f"_{i}" for i in range(len(docs.columns)))))
+    # Rows take the place of ids, so every row has a name of its own.
+    named = rows.select(F.col("row").alias("doc_id"), F.col(back["text"]).alias("text"))
+    found = jaccard_join.jaccard_classes(named, tables).select(F.col("doc_id").alias("row"), "class_id")
+    order = F.struct(F.col(back["doc_id"]).isNull().alias("none"), F.col(back["doc_id"]).alias("id"), "row")
+    first = rows.join(found, "row").groupBy("class_id").agg(F.min(order).alias("least"))
+    kept = first.select(F.col("least.row").alias("row"))
+    return rows.join(kept, "row").select(*[F.col(back[c]).alias(c) for c in docs.columns])
 
 
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -458,3 +458,11 @@ def test_pipeline(spark, docs, none, given_docs):
     packed = corpus_pipeline.STAGES[-1][1](spark, kept, DATA)
     assert {r.doc_id for r in packed.select("doc_id").collect()} == {r.doc_id for r in kept.select("doc_id").collect()}
     assert corpus_pipeline.jaccard_stage(spark, docs, DATA).select("doc_id").distinct().count() == 8
+
+
+def test_jaccard_stage_keeps_one_row_of_each_group(spark):
+    a, b, c, d = (" ".join(words(60, 80_000 + i)) for i in range(4))
+    rows = [(7, a), (7, a), (7, a), (None, a), (None, b), (None, b), (1, c), (5, c), (5, d), (8, ""), (8, ""), (None, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    left = [tuple(r) for r in corpus_pipeline.jaccard_stage(spark, table, DATA).collect()]
+    assert Counter(left) == Counter([(7, a), (None, b), (1, c), (5, d), (8, ""), (8, ""), (None, None)])
