@@ -1,4 +1,4 @@
-"""Operator 5: toxicity by a weighted finite-state grammar over matched clauses."""
+"""Operator 5: toxicity by a weighted word list with context; it stands in for a grammar of composed automata."""
 
 from __future__ import annotations
 
@@ -42,11 +42,11 @@ CONTEXTS = ("plain", "aimed", "negated", "reported")
 
 
 class Grammar:
-    """Terminals with weights, and transducers that compose them over the tokens of a clause.
+    """Words with weights, and the closed-class words near them. There are no automata and no composition.
 
-    Each clause is read left to right. The states remember how far back a negation, a report, a target or a
-    future word stands (up to REACH tokens). An insult, or a threat after a future word or before a target,
-    emits its weight times the weight of its context; all other tokens emit nothing.
+    An insult word counts wherever it stands. A threat counts only after a future word and before a target. The context
+    (negated, reported, aimed, plain) comes from words up to REACH tokens away in the same clause; a negation
+    or report farther back is not seen. A document sums its distinct words, whatever clause they stand in.
     """
 
     def __init__(self, words: dict[str, float], stems: dict[str, float], contexts: dict[str, float], model: Classifier):
