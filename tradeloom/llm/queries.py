@@ -1,11 +1,24 @@
-"""Registered queries of the ten operators, each over its whole table."""
+"""Registered queries of the operators, each over its whole table."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import jaccard_join, lattice, packing, passages, pieces, quality, toxicity, urls, vector_graph, winnow
+from tradeloom.llm import (
+    jaccard_join,
+    lattice,
+    packing,
+    passages,
+    pieces,
+    positional_index,
+    quality,
+    toxicity,
+    urls,
+    vector_graph,
+    winnow,
+)
+from tradeloom.llm.oracles import CONTAMINATION
 from tradeloom.llm.store import Tables
 from tradeloom.session import configure
 
@@ -127,6 +140,19 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("held_out", held_out("doc_id", 5)).withColumnRenamed("good", "kept")
 
 
+def op12_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    found = positional_index.contamination(docs, items, Tables(spark))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_url_filter": op2_url_filter,
@@ -138,5 +164,7 @@ QUERIES = {
     "op8_pieces": op8_pieces,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_quality": op10_quality,
+    "op12_decontamination": op12_decontamination,
 }
-ORACLES: dict[str, str] = {}  # none of them is within reach of SQL; tests/llm compares with brute force
+# The first ten are not within reach of SQL; tests/llm compares them with brute force.
+ORACLES = {"op12_decontamination": CONTAMINATION}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +17,7 @@ class Tables:
         self.spark = spark
         self.folder = f"{shared_folder(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
         self.made = 0
+        self.live: set[str] = set()
 
     def put(self, df: DataFrame) -> DataFrame:
         self.made += 1
@@ -23,10 +25,19 @@ class Tables:
         df.write.parquet(path)
         back = self.spark.read.schema(df.schema).parquet(path)
         back._tradeloom_path = path
+        self.live.add(path)
         return back
 
     def drop(self, *frames: DataFrame) -> None:
+        self._delete(df._tradeloom_path for df in frames)
+
+    def keep_only(self, *frames: DataFrame) -> None:
+        """Delete every table but those of ``frames``."""
+        self._delete(self.live - {df._tradeloom_path for df in frames})
+
+    def _delete(self, paths: Iterable[str]) -> None:
         hadoop = self.spark._jvm.org.apache.hadoop.fs
-        for df in frames:
-            path = hadoop.Path(df._tradeloom_path)
+        for name in list(paths):
+            path = hadoop.Path(name)
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            self.live.discard(name)
