@@ -33,3 +33,47 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN words USING (d) LEFT JOIN listed USING (d)
 """
+
+TERMS = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+
+DIVERGENCE = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), {LETTERS}), '{TERMS}') AS w
+  FROM documents
+), occurrences AS (
+  SELECT d, lang, source, unnest(w) AS term FROM docs
+), kept AS (
+  SELECT lang, term FROM occurrences GROUP BY ALL HAVING count(DISTINCT d) >= 30
+), groups AS (
+  SELECT DISTINCT lang, source FROM docs
+), counts AS (
+  SELECT lang, source, term, count(*) AS n FROM occurrences SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), vocabulary AS (
+  SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), cells AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n
+  FROM groups g JOIN kept k USING (lang) LEFT JOIN counts c USING (lang, source, term)
+), totals AS (
+  SELECT lang, source, sum(n) AS total FROM cells GROUP BY ALL
+), shares AS (
+  SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 5)) // (total + 5 * v)::HUGEINT AS p
+  FROM cells JOIN totals USING (lang, source) JOIN vocabulary USING (lang)
+), overall AS (
+  SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(n) + 5)::HUGEINT) // (any_value(total) + 5 * any_value(v))::HUGEINT AS q
+  FROM cells JOIN (SELECT lang, sum(total) AS total FROM totals GROUP BY lang) USING (lang) JOIN vocabulary USING (lang)
+  GROUP BY lang, term
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), every AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(p.value, 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, CAST(p - q AS BIGINT) FROM shares JOIN overall USING (lang, term) WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM every
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50
+"""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.llm import (
+    divergence,
     jaccard_join,
     lattice,
     packing,
@@ -18,7 +19,7 @@ from tradeloom.llm import (
     vector_graph,
     winnow,
 )
-from tradeloom.llm.oracles import CONTAMINATION
+from tradeloom.llm.oracles import CONTAMINATION, DIVERGENCE
 from tradeloom.llm.store import Tables
 from tradeloom.session import configure
 
@@ -153,6 +154,10 @@ def op12_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"), Tables(spark))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_url_filter": op2_url_filter,
@@ -165,6 +170,7 @@ QUERIES = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_quality": op10_quality,
     "op12_decontamination": op12_decontamination,
+    "op13_source_divergence": op13_source_divergence,
 }
 # The first ten are not within reach of SQL; tests/llm compares them with brute force.
-ORACLES = {"op12_decontamination": CONTAMINATION}
+ORACLES = {"op12_decontamination": CONTAMINATION, "op13_source_divergence": DIVERGENCE}
