@@ -77,3 +77,56 @@ WITH docs AS (
 )
 SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50
 """
+
+RUNS = "[A-Za-z\u00C0-\u00FF]+"
+
+# crc32 byte by byte from its table of 256 values, which eight steps of shift and xor make.
+VARIANTS = f"""
+WITH RECURSIVE steps AS (
+  SELECT i, 0 AS k, i::UBIGINT AS v FROM range(256) t(i)
+  UNION ALL
+  SELECT i, k + 1, xor(v >> 1, (v & 1) * 3988292384::UBIGINT) FROM steps WHERE k < 8
+), crc AS (
+  SELECT list(v ORDER BY i) AS steps FROM steps WHERE k = 8
+), runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), {LETTERS}), '{RUNS}')) AS run FROM documents
+  ) WHERE length(run) >= 7 GROUP BY ALL
+), bytes AS (
+  SELECT run, n, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+    lambda c: CASE WHEN ord(c) < 128 THEN [ord(c)] ELSE [192 + ord(c) // 64, 128 + ord(c) % 64] END)) AS b
+  FROM runs
+), hashed AS (
+  SELECT run, n, xor(4294967295::UBIGINT, list_reduce(
+    list_prepend(4294967295::UBIGINT, list_transform(b, lambda x: x::UBIGINT)),
+    lambda c, x: xor(c >> 8, steps[1 + (xor(c, x) & 255)::BIGINT])))::BIGINT AS h
+  FROM bytes, crc
+), damaged AS (
+  SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+  FROM hashed
+), words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM damaged WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), cuts AS (
+  SELECT word, n, k, left(word, k - 1) || substr(word, k + 1) AS cut
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS k FROM words)
+), near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM cuts a JOIN cuts b ON a.k = b.k AND a.cut = b.cut AND a.word <> b.word
+  UNION
+  SELECT a.word, a.n, b.word, b.n FROM cuts a JOIN words b ON a.cut = b.word
+  UNION
+  SELECT b.word, b.n, a.word, a.n FROM cuts a JOIN words b ON a.cut = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS other, max(other_n) AS other_n
+  FROM near GROUP BY word
+), judged AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 10 * n THEN other END AS form,
+         CASE WHEN other_n >= 10 * n THEN other_n END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), chains AS (
+  SELECT word, word AS root, form AS next FROM judged
+  UNION ALL
+  SELECT c.word, j.word, j.form FROM chains c JOIN judged j ON j.word = c.next
+)
+SELECT j.word, j.form, c.root, j.n, j.n_near, j.form_n
+FROM judged j JOIN chains c ON c.word = j.word AND c.next IS NULL
+"""

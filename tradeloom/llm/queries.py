@@ -14,12 +14,13 @@ from tradeloom.llm import (
     pieces,
     positional_index,
     quality,
+    spelling,
     toxicity,
     urls,
     vector_graph,
     winnow,
 )
-from tradeloom.llm.oracles import CONTAMINATION, DIVERGENCE
+from tradeloom.llm.oracles import CONTAMINATION, DIVERGENCE, VARIANTS
 from tradeloom.llm.store import Tables
 from tradeloom.session import configure
 
@@ -141,6 +142,10 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("held_out", held_out("doc_id", 5)).withColumnRenamed("good", "kept")
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variant_groups(table(spark, folder, "documents"), Tables(spark))
+
+
 def op12_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
     found = positional_index.contamination(docs, items, Tables(spark))
@@ -169,8 +174,13 @@ QUERIES = {
     "op8_pieces": op8_pieces,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_quality": op10_quality,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_decontamination": op12_decontamination,
     "op13_source_divergence": op13_source_divergence,
 }
 # The first ten are not within reach of SQL; tests/llm compares them with brute force.
-ORACLES = {"op12_decontamination": CONTAMINATION, "op13_source_divergence": DIVERGENCE}
+ORACLES = {
+    "op11_spelling_variants": VARIANTS,
+    "op12_decontamination": CONTAMINATION,
+    "op13_source_divergence": DIVERGENCE,
+}
