@@ -117,6 +117,32 @@ def test_passages(spark, docs, none):
     assert passages.passage_classes(none, Tables(spark)).count() == passages.remove_passages(none, Tables(spark)).count() == 0
 
 
+def test_rows_that_repeat_an_id_lose_only_their_own_passages(spark):
+    clean, short = words(300, 31), "only a few words"
+    rows = [
+        (1, " ".join([*words(40, 32), *PASSAGE, *words(40, 33)])),
+        (2, " ".join([*words(10, 34), *PASSAGE])),
+        (2, " ".join(clean)),
+        (2, short),
+        (2, None),
+        (None, " ".join([*PASSAGE, *words(5, 35)])),
+        (None, short),
+    ]
+    given = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    left = sorted((tuple(r) for r in passages.remove_passages(given, Tables(spark)).collect()), key=repr)
+    expected = [rows[0], (2, " ".join(words(10, 34)) + " "), *rows[2:5], (None, " " + " ".join(words(5, 35))), rows[6]]
+    assert left == sorted(expected, key=repr)
+
+
+def test_texts_with_many_askers_are_sent_in_sheets(spark, monkeypatch):
+    rows = [(i, " ".join([*PASSAGE, *words(60, 100 + i)])) for i in range(12)]
+    given = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = sorted(map(tuple, passages.passage_classes(given, Tables(spark)).select("doc_id", "class_id").collect()))
+    monkeypatch.setattr(passages, "ASKERS", 3)
+    parts = sorted(map(tuple, passages.passage_classes(given, Tables(spark)).select("doc_id", "class_id").collect()))
+    assert whole == parts == [(i, 0) for i in range(12)]
+
+
 def test_passages_span_insertions():
     for n, extra in ((80, 7), (90, 10), (98, 14), (400, 60)):
         plain = words(n, 200 + n)

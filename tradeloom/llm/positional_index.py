@@ -123,7 +123,7 @@ def proximity_matches(index: Index, places: DataFrame, slop: int, tables: Tables
     at = index.postings.join(anchors.select("phrase", "first", "a.k", "a.term"), "term")
     at = tables.put(at.select("row", "phrase", "first", "pos", "k"))
     others = anchors.select("phrase", "first", F.explode(F.slice("ranked", 2, window)).alias("b"), F.col("a.k").alias("k"))
-    second = anchors.select("phrase", "first", F.col("ranked")[1].alias("b"), F.col("a.k").alias("k")).where("b is not null")
+    second = anchors.select("phrase", "first", F.get("ranked", 1).alias("b"), F.col("a.k").alias("k")).where("b is not null")
     postings = _of_rows(index.postings, at, tables)
 
     def met(found: DataFrame, wanted: DataFrame) -> DataFrame:

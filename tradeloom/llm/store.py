@@ -35,9 +35,15 @@ class Tables:
         """Delete every table but those of ``frames``."""
         self._delete(self.live - {df._tradeloom_path for df in frames})
 
+    def keep_since(self, before: set[str], *frames: DataFrame) -> None:
+        """Delete the tables made since ``live`` was ``before``, but those of ``frames``."""
+        self._delete(self.live - before - {df._tradeloom_path for df in frames})
+
     def _delete(self, paths: Iterable[str]) -> None:
         hadoop = self.spark._jvm.org.apache.hadoop.fs
         for name in list(paths):
             path = hadoop.Path(name)
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
             self.live.discard(name)
+        # Shuffle files of finished jobs go when the driver's garbage collector finds their plans unused.
+        self.spark._jvm.System.gc()
