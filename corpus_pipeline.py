@@ -65,6 +65,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = queries.table(spark, sf_dir, "documents")
     tables = Tables(spark)
-    for _, stage in STAGES[:-1]:
-        docs = tables.put(stage(spark, docs, sf_dir))
+    for k, (_, stage) in enumerate(STAGES[:-1]):
+        kept = tables.put(stage(spark, docs, sf_dir))
+        if k:
+            tables.drop(docs)
+        docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)
