@@ -95,3 +95,46 @@ def test_target_refuses_another_checkpoint(spark, tmp_path):
     _apply(spark, tmp_path)
     with pytest.raises(ValueError, match="another checkpoint"):
         _apply(spark, tmp_path, "other")
+
+
+def test_refresh_reads_no_earlier_epoch(spark, tmp_path):
+    _send(spark, tmp_path / "sent", [("a", 1, 1, 1.0), ("b", 1, 1, 2.0)])
+    _apply(spark, tmp_path)
+    for part in (tmp_path / "t" / "log").rglob("part-*.parquet"):
+        part.write_bytes(b"unreadable")  # whoever opens history again fails
+        (part.parent / f".{part.name}.crc").unlink(missing_ok=True)
+    _send(spark, tmp_path / "sent", [("a", 1, 2, 5.0), ("c", 1, 1, 3.0)])
+    assert _apply(spark, tmp_path) == [("a", 1, 2, 5.0), ("b", 1, 1, 2.0), ("c", 1, 1, 3.0)]
+
+
+def test_refresh_that_was_not_recorded_is_repeated(spark, tmp_path, monkeypatch):
+    _send(spark, tmp_path / "sent", [("a", 1, 1, 1.0), ("b", 1, 1, 2.0)])
+    _apply(spark, tmp_path)
+    _send(spark, tmp_path / "sent", [("a", 1, 1, 4.0), ("b", 1, 2, 5.0)])  # a second part of a version, and a new one
+    publish = resubmissions.publish_partitions
+
+    def break_off(*arguments):
+        publish(*arguments)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(resubmissions, "publish_partitions", break_off)
+    with pytest.raises(RuntimeError, match="lost"):
+        _apply(spark, tmp_path)
+    monkeypatch.setattr(resubmissions, "publish_partitions", publish)
+    expected = [("a", 1, 1, 1.0), ("a", 1, 1, 4.0), ("b", 1, 2, 5.0)]
+    assert _apply(spark, tmp_path) == expected and _apply(spark, tmp_path) == expected
+
+
+def test_buckets_grow_with_the_rows(spark, tmp_path):
+    rows = [(f"c{i}", 1, 1, float(i)) for i in range(40)]
+    _send(spark, tmp_path / "sent", rows)
+    stream = spark.readStream.schema(SENT).parquet(str(tmp_path / "sent"))
+    target, keys = str(tmp_path / "t"), ["company", "month"]
+    resubmissions.append_submissions(stream, target, str(tmp_path / "c"), keys, buckets=2)
+    resubmissions.refresh_current(spark, target, stream.schema, keys, "version", rows_per_bucket=5)
+    assert [p.name for p in (tmp_path / "t" / "current").iterdir()] == ["8"]
+    _send(spark, tmp_path / "sent", [("c3", 1, 2, 9.0)])
+    resubmissions.append_submissions(stream, target, str(tmp_path / "c"), keys)
+    resubmissions.refresh_current(spark, target, stream.schema, keys, "version", rows_per_bucket=5)
+    found = sorted(map(tuple, resubmissions.current_submissions(spark, target, stream.schema).collect()))
+    assert found == sorted([r for r in rows if r[0] != "c3"] + [("c3", 1, 2, 9.0)])

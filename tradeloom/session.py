@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,6 +57,33 @@ def shared_folder(spark: SparkSession) -> str:
     return created
 
 
+# Paths stored by the innermost block of ``intermediates``; None outside of one.
+_STORED: ContextVar[list[str] | None] = ContextVar("stored", default=None)
+
+
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system and path object of ``path``."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[list[str]]:
+    """Delete the tables that ``cut_lineage`` stores inside the block when it ends, also after an error.
+
+    Results that read them must be written or collected inside the block. Blocks may be nested; each deletes its own.
+    """
+    stored: list[str] = []
+    token = _STORED.set(stored)
+    try:
+        yield stored
+    finally:
+        _STORED.reset(token)
+        for path in stored:
+            files, place = file_system(spark, path)
+            files.delete(place, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a Parquet table in the shared folder and read it back.
 
@@ -62,5 +92,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/tradeloom-{uuid.uuid4().hex}"
+    if (stored := _STORED.get()) is not None:
+        stored.append(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._stored_at = path
+    return back
+
+
+def stored_bytes(stored: DataFrame) -> int:
+    """Size of the files of a table that ``cut_lineage`` returned."""
+    files, place = file_system(stored.sparkSession, stored._stored_at)
+    return files.getContentSummary(place).getLength()

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from tradeloom.operators.joins import equal_keys
-from tradeloom.operators.quality import write_count
+from tradeloom.sources.publish import observed_write
 
 PANEL_KEYS = ("company", "item_code", "date", "customer", "channel", "_original_period")
 
@@ -36,7 +36,7 @@ def replace_batch(target: DataFrame, source: DataFrame) -> DataFrame:
 
 def overwrite_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
     """Replace a table and its schema."""
-    writer = df.write.mode("overwrite").option("overwriteSchema", "true")
+    writer = df.write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
 
 
@@ -54,11 +54,14 @@ def merge_table(df: DataFrame, table: str, keys: Sequence[str]) -> None:
 
 
 def write_verified(df: DataFrame, table: str) -> None:
-    """Replace a table and fail if it does not hold the rows that were to be written."""
-    overwrite_table(df, table)
-    outcome = write_count(df, df.sparkSession.table(table)).first()
-    if not outcome["passed"]:
-        raise ValueError(f"{table}: expected {outcome['expected']}, wrote {outcome['written']}")
+    """Replace a table and fail if it does not hold the rows that were to be written.
+
+    The rows are counted while they are written, those stored from the files' footers.
+    """
+    expected = observed_write(df, lambda rows: overwrite_table(rows, table))["rows"]
+    written = df.sparkSession.table(table).count()
+    if written != expected:
+        raise ValueError(f"{table}: expected {expected}, wrote {written}")
 
 
 def existing_tables(spark, names: Sequence[str]) -> dict[str, DataFrame | None]:

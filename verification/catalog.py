@@ -6,6 +6,7 @@ from verification import (  # noqa: F401
     lookup_queries,
     marts_queries,
     pricing_queries,
+    publish_queries,
     report_queries,
 )
 from verification.registry import QUERIES
