@@ -2,7 +2,7 @@
 
 import hashlib
 import zlib
-from collections import Counter, defaultdict
+from collections import Counter, defaultdict, deque
 
 import numpy as np
 import public_tokenizers
@@ -248,7 +248,14 @@ def test_packing_plan_is_a_packing(counts):
         own.sort()
         assert [o for o, _ in own] == np.cumsum([0, *[n for _, n in own]])[:-1].tolist() and sum(n for _, n in own) <= 64
     total = sum(n * c for n, c in counts.items())
-    least = max(-(-total // 64), sum(c for n, c in counts.items() if n > 32))
+    # Two items above a third at most share a sequence; the largest with the smallest, if they fit, is best for these.
+    large = deque(sorted(n for n, c in counts.items() for _ in range(c) if 3 * n > 64))
+    paired = 0
+    while large:
+        paired += 1
+        if large and large[0] + large.pop() <= 64 and large:
+            large.popleft()
+    least = max(-(-total // 64), paired)
     assert len(filled) <= 11 / 9 * least + 1 or len(filled) - least <= 4
 
 
@@ -492,3 +499,40 @@ def test_jaccard_stage_keeps_one_row_of_each_group(spark):
     table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     left = [tuple(r) for r in corpus_pipeline.jaccard_stage(spark, table, DATA).collect()]
     assert Counter(left) == Counter([(7, a), (None, b), (1, c), (5, d), (8, ""), (8, ""), (None, None)])
+
+
+def test_token_ids_agree_over_all_white_space():
+    table = packing.UnitTable(
+        public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    )
+    blanks = " \t\n\r\x0b\x0c\x1c\x1f\x85\xa0\u1680\u2000\u2009\u2028\u202f\u205f\u3000\u200b"
+
+    @settings(max_examples=1500, deadline=None)
+    @given(st.text(st.sampled_from("   " + blanks + "ab'sZ9.é漢")))
+    def check(text):
+        ids = table.lib.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(table.encode(text), dtype="<u4").tolist() == ids
+
+    for text in (" \xa0 \xa0", "a \xa0 \xa0 b", "a  b", " a", "a ", "a\n b", "a \nb", ""):
+        assert np.frombuffer(table.encode(text), dtype="<u4").tolist() == table.lib.encode(text, add_special_tokens=False).ids
+    check()
+
+
+def test_judging_stages_keep_clashing_columns(spark):
+    names = ["good", "quality", "doc_score", "host_rate", "path_rate", "score", "matched", "host", "_0", "_others", "evidence"]
+    given = spark.read.parquet(f"{DATA}/documents.parquet")
+    extra = given.select("*", *[F.lit(i).alias(c) for i, c in enumerate(names)])
+    for stage in (corpus_pipeline.quality_stage, corpus_pipeline.toxicity_stage):
+        plain, kept = (stage(spark, d, DATA) for d in (given, extra))
+        assert kept.columns == extra.columns
+        assert sorted(r.doc_id for r in plain.collect()) == sorted(r.doc_id for r in kept.collect())
+        assert kept.select(*names).distinct().collect() == [tuple(range(len(names)))]
+
+
+def test_vectors_of_doubles(spark):
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(6, 16))
+    rows = [(i, (base[i % 6] + 0.01 * rng.normal(size=16)).tolist()) for i in range(30)]
+    given = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {r.id: r.class_id for r in vector_graph.near_classes(given, Tables(spark)).collect()}
+    assert found == {i: i % 6 for i in range(30)}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import math
+import re
 from bisect import bisect_left, insort
 
 import numpy as np
@@ -15,21 +16,21 @@ from pyspark.sql import types as T
 from tradeloom.llm.blocks import map_texts, worker_store
 from tradeloom.llm.store import Tables
 
+# A space between two characters that are no white space; Python's white space includes all of the pattern's.
+LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 UNIT_LIMIT = 400_000  # units a worker remembers; only memory depends on it, not the ids
 
 
 class UnitTable:
-    """Token ids (as int32 bytes) of each distinct unit of text between single spaces.
+    """Token ids (as int32 bytes) of each distinct unit of text between lone spaces.
 
-    The pattern of this vocabulary starts a new chunk at a space that follows a non-space character or other
-    white space, so units can be encoded apart where no two spaces touch; other texts are encoded whole.
+    The pattern of this vocabulary starts a new chunk at a space between two characters that are no white space, so
+    units can be encoded apart there; a longer run of white space of any kind stays within its unit.
     Units in common Latin characters go through the faster library with the same vocabulary, if its file is
     there; all others through ``tokenizers``.
     """
 
     def __init__(self, vocabulary: str, ranks: str | None, pattern: str | None):
-        import re
-
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(vocabulary)
@@ -52,19 +53,31 @@ class UnitTable:
         return np.array(ids, dtype="<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
-        if "  " in text or any(s in text for s in self.specials):
+        if any(s in text for s in self.specials):
             return np.array(self.lib.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         if not text:
             return b""
-        first, *rest = text.split(" ")
+        found = self._joined(text.split(" "))
+        return self._joined(LONE_SPACE.split(text), sure=True) if found is None else found
+
+    def _joined(self, units: list[str], sure: bool = False) -> bytes | None:
+        """Ids of units between single spaces; None where one begins or ends with white space and so, unless the units
+        are ``sure``, may share a run of white space with its neighbour."""
         known = self.known
         if len(known) > UNIT_LIMIT:
             known.clear()
-        out = [self._encode(first)] if first else []
+        first, *rest = units
+        if not sure and rest and (not first or first[-1].isspace()):
+            return None
+        out = [self._encode(first)]
         for unit in rest:
             ids = known.get(unit)
             if ids is None:
-                ids = known[unit] = self._encode(" " + unit)
+                if not sure and (not unit or unit[0].isspace() or unit[-1].isspace()):
+                    return None
+                ids = self._encode(" " + unit)
+                if unit and not unit[0].isspace() and not unit[-1].isspace():
+                    known[unit] = ids
             out.append(ids)
         return b"".join(out)
 

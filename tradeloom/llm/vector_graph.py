@@ -217,7 +217,8 @@ def near_classes(vectors: DataFrame, tables: Tables, threshold: float = 0.9, key
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lists, pa.list_(pa.int64()))], names)
 
     names = ["embedding", "node", "copies", "shards"]
-    dealt = nodes.select(*names[:3]).mapInArrow(deal, "embedding array<float>, node long, copies long, shards array<long>")
+    kind = nodes.schema["embedding"].dataType.simpleString()  # of floats or of doubles
+    dealt = nodes.select(*names[:3]).mapInArrow(deal, f"embedding {kind}, node long, copies long, shards array<long>")
     placed = dealt.withColumn("shard", F.explode("shards"))
     sizes = placed.groupBy("shard").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     placed = placed.join(sizes, "shard").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
