@@ -9,18 +9,26 @@ from tradeloom.llm import jaccard_join, passages, queries
 from tradeloom.llm.store import Tables
 
 
+def _apart(docs: DataFrame) -> tuple[DataFrame, list]:
+    """What a judging stage reads and, in one column, all others, whose names may clash with its own; and the way back."""
+    others = [c for c in docs.columns if c != "text"]
+    held = F.struct(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(others)]).alias("_others")
+    back = {c: F.col("_others").getField(f"_{i}").alias(c) for i, c in enumerate(others)}
+    return docs.select("doc_id", "text", "lang", "source", held), [back.get(c, F.col("text")) for c in docs.columns]
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
-    labels = queries.table(spark, sf_dir, "labels")
-    found = queries.judged_quality(docs, labels, docs.columns)
-    return found.where("good").select(*docs.columns)
+    rows, back = _apart(docs)
+    found = queries.judged_quality(rows, queries.table(spark, sf_dir, "labels"), ["text", "_others"])
+    return found.where("good").select(*back)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity grammar does not predict toxic."""
-    labels = queries.table(spark, sf_dir, "labels")
-    found = queries.toxic_scores(docs, labels, docs.columns)
-    return found.where("score < 0.5").select(*docs.columns)
+    rows, back = _apart(docs)
+    found = queries.toxic_scores(rows, queries.table(spark, sf_dir, "labels"), ["text", "_others"])
+    return found.where("score < 0.5").select(*back)
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -411,3 +411,31 @@ def test_flagged_line_takes_an_earlier_price_and_keeps_its_flag(spark):
     }
     # Only usable lines may borrow a neighbouring country's price.
     assert found == {("SPAIN", "H1"): (10.0, 0), ("SPAIN", "H2"): (10.0, 1), ("ITALY", "H2"): (None, 1)}
+
+
+def test_mapping_keys_agree_in_spark_and_python(spark):
+    letters = [chr(c) for c in range(1, 0x20000) if not 0xD800 <= c < 0xE000 and (chr(c).casefold() != chr(c) or chr(c).upper() != chr(c) or c < 0x250)]
+    names = [f"x{c}y" for c in letters if c.strip()] + ["Größe", "GRÖSSE", "İstanbul ı"]
+    given = [(n, f"t{mapping.field_key(n)}", "TEXT") for n in names]
+    table = spark.createDataFrame(given, "original_field string, proposed_field string, data_types_found string")
+    found = mapping.mapping_from_table(table, names)
+    assert {mapping.field_key(n) for n in names} == set(found)
+    assert all(target.name == f"t{key}" for key, target in found.items())
+
+
+def test_spans_of_zero_cover_one_place(spark):
+    schema = "file_id string, row_idx int, cell_idx int, colspan int, rowspan int, text string, num double"
+    rows = [
+        ("f", 1, 0, 1, 1, "a", 1.0), ("f", 1, 1, 0, 1, "b", 2.0), ("f", 1, 2, 1, 0, "c", 3.0),
+        ("f", 2, 0, 1, 2, "d", 4.0), ("f", 2, 1, 0, 1, "e", 5.0), ("f", 2, 2, -1, None, "g", 6.0), ("f", 3, 0, None, 1, "h", 7.0),
+    ]
+    found = reports.span_expand(spark.createDataFrame(rows, schema)).select("row_idx", "col_idx", "text")
+    assert sorted(map(tuple, found.collect())) == [
+        (1, 0, "a"), (1, 1, "b"), (1, 2, "c"), (2, 0, "d"), (2, 1, "e"), (2, 2, "g"), (3, 0, "d"), (3, 1, "h"),
+    ]
+
+
+def test_file_without_header_cells_fails(spark):
+    cells = spark.createDataFrame([("f", 1, "ACT 24"), ("f", 2, "12"), ("g", 9, "x")], "file_id string, row_idx int, text string")
+    with pytest.raises(Exception, match="No scenario row in file g"):
+        reports.header_roles(cells).collect()

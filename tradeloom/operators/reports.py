@@ -386,8 +386,9 @@ def span_expand(cells: DataFrame) -> DataFrame:
         F.col("file_id").cast("string").alias("file_id"),
         F.col("row_idx").cast("long").alias("row_idx"),
         F.col("cell_idx").cast("long").alias("cell_idx"),
-        F.coalesce(F.col("colspan"), F.lit(1)).cast("long").alias("colspan"),
-        F.coalesce(F.col("rowspan"), F.lit(1)).cast("long").alias("rowspan"),
+        # A span that is missing, 0 or negative covers one column or row.
+        F.greatest(F.coalesce("colspan", F.lit(1)), F.lit(1)).cast("long").alias("colspan"),
+        F.greatest(F.coalesce("rowspan", F.lit(1)), F.lit(1)).cast("long").alias("rowspan"),
         "text",
         F.col("num").cast("double").alias("num"),
     )
@@ -422,10 +423,7 @@ def span_expand(cells: DataFrame) -> DataFrame:
         .select(
             "file_id",
             "row_idx",
-            F.explode(
-                # A span of 0 covers one column, as everywhere else.
-                F.sequence(F.col("first"), F.col("first") + F.greatest(F.col("colspan"), F.lit(1)) - 1)
-            ).alias("col_idx"),
+            F.explode(F.sequence(F.col("first"), F.col("first") + F.col("colspan") - 1)).alias("col_idx"),
             "text",
             "num",
         )
@@ -478,6 +476,8 @@ def header_roles(cells: DataFrame) -> DataFrame:
     )
     missing = F.raise_error(F.concat(F.lit("No scenario row in file "), F.col("file_id").cast("string")))
     found = F.coalesce(F.col("scenario_row").cast("long"), missing.cast("long"))
+    # A file without any cell in the header rows has no scenario row either.
+    per_file = cells.select("file_id").distinct().join(per_file, "file_id", "left")
     return per_file.withColumn("code_row", (-code["rank"]).cast("long")).select(
         "file_id",
         found.alias("scenario_row"),

@@ -104,6 +104,11 @@ def read_mapping(rows: Iterable[tuple[str, str, str]]) -> dict[str, Target]:
     return mapping
 
 
+def _folded_letters() -> dict[str, str]:
+    """The few letters outside ASCII that case folding turns into ASCII ones, which Spark's ``lower`` does not all do."""
+    return {chr(c): key for c in range(0x80, 0x10000) if (key := field_key(chr(c)))}
+
+
 def mapping_from_table(table: DataFrame, columns: Iterable[str]) -> dict[str, Target]:
     """Mapping of the given source columns from a table of any length.
 
@@ -112,7 +117,10 @@ def mapping_from_table(table: DataFrame, columns: Iterable[str]) -> dict[str, Ta
     """
     names = ("original_field", "proposed_field", "data_types_found")
     original, proposed, kind = (F.trim(F.coalesce(F.col(name), F.lit(""))) for name in names)
-    key = F.regexp_replace(F.lower(original), "[^a-z0-9]+", "")
+    folded = original
+    for letter, key in _folded_letters().items():
+        folded = F.replace(folded, F.lit(letter), F.lit(key))
+    key = F.regexp_replace(F.lower(folded), "[^a-z0-9]+", "")
     wanted = sorted({field_key(name) for name in columns})
     rows = table.where((original != "") & (proposed != "") & (kind != "")).where(key.isin(wanted))
     target = F.struct(proposed.alias("proposed"), F.upper(kind).alias("kind"))

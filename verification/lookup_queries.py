@@ -426,18 +426,32 @@ def ref_customers_channels(i):
 
 @query(
     "dq_conflicts",
-    f"""with {REFERENCE_FIELDS}
+    f"""with {REFERENCE_FIELDS},
+    corrected as (
+      select * from fields
+      union all
+      select 'COMPANY_GROUP_002', null, lower(c_name), case when c_custkey % 14 = 0 then upper(c_name) else c_name end,
+        n_name, c_mktsegment
+      from {{customer}} join {{nation}} on n_nationkey = (c_nationkey + 1) % 25 where c_custkey % 7 = 0)
     select company, customer_raw, count(distinct customer) as n_customer_values,
       count(distinct country_raw) as n_country_raw_values,
       count(distinct channel_raw) as n_channel_raw_values
-    from fields group by 1, 2
+    from corrected group by 1, 2
     having count(distinct customer) > 1 or count(distinct country_raw) > 1
       or count(distinct channel_raw) > 1""",
 )
 def dq_conflicts(i):
-    return quality.conflicts(
-        _reference_fields(i), ["company", "customer_raw"], ["customer", "country_raw", "channel_raw"]
+    """Customers that moved, some spelled anew, are reported a second time; each is a conflict."""
+    moved = i.customer.join(i.nation, F.col("n_nationkey") == (F.col("c_nationkey") + 1) % 25).where("c_custkey % 7 = 0")
+    again = moved.select(
+        F.lit("COMPANY_GROUP_002").alias("company"),
+        F.lower("c_name").alias("customer_raw"),
+        F.when(F.col("c_custkey") % 14 == 0, F.upper("c_name")).otherwise(F.col("c_name")).alias("customer"),
+        F.col("n_name").alias("country_raw"),
+        F.col("c_mktsegment").alias("channel_raw"),
     )
+    fields = _reference_fields(i).unionByName(again, allowMissingColumns=True)
+    return quality.conflicts(fields, ["company", "customer_raw"], ["customer", "country_raw", "channel_raw"])
 
 
 @query(
