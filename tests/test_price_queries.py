@@ -13,7 +13,7 @@ FOLDER = "/root/testdata/sf0.001"
 def test_newest_prices_against_brute_force(spark, monkeypatch):
     seen = {}
     monkeypatch.setattr(queries, "lines", lambda i, make=queries.lines: seen.setdefault("lines", make(i)))
-    found = [r.pm_omogeneo for r in QUERIES["newest_price_fallback_whole"].run(spark, FOLDER).collect()]
+    found = [r.pm_omogeneo for r in QUERIES["newest_price_fallback"].run(spark, FOLDER).collect()]
     rows = seen["lines"].withColumn("usable", queries._flag() == F.lit(0)).collect()
     sums = defaultdict(lambda: [0.0, 0.0])
     for r in rows:

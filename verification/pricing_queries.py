@@ -92,7 +92,7 @@ FAMILY_PRICES = f"""{LINES},
 prices as (
   select sellout_dm, _dest_key, billing_currency, _year, _semester,
     sum(fx_transaction_lc) / sum(quantity) as pm_omogeneo
-  from lines where submission_id = 20240201000000000 and flag = 0 and channel = 'Fabbricante'
+  from lines where flag = 0
   group by all having sum(fx_transaction_lc) / sum(quantity) > 0),
 asked as (
   select l.order_key, l.line_no, l.item_code, l.company, l.sellout_dm, l._dest_key,
@@ -102,13 +102,9 @@ asked as (
 
 
 def _family_prices(i):
-    usable = lines(i).filter(
-        (F.col("submission_id") == 20240201000000000)
-        & (F.col("channel") == "Fabbricante")
-        & (_flag() == 0)
-    )
-    prices = pricing.unit_price(usable, (*FAMILY_KEYS, *pricing.PERIOD))
+    """Lines with their own price, and the prices of all usable lines, whatever their submission and channel."""
     keys = [*FAMILY_KEYS, *pricing.PERIOD]
+    prices = pricing.unit_price(lines(i).filter(_flag() == 0), keys)
     asked = lines(i).select("order_key", "line_no", "item_code", "company", *keys)
     return asked.join(prices, keys, "left"), prices
 
@@ -174,67 +170,6 @@ def newest_price_fallback(i):
     )
 
 
-# The same over the prices of all usable lines, whatever their submission and channel.
-WHOLE_PRICES = FAMILY_PRICES.replace(
-    "where submission_id = 20240201000000000 and flag = 0 and channel = 'Fabbricante'", "where flag = 0"
-)
-
-
-def _whole_prices(i):
-    keys = [*FAMILY_KEYS, *pricing.PERIOD]
-    prices = pricing.unit_price(lines(i).filter(_flag() == 0), keys)
-    asked = lines(i).select("order_key", "line_no", "item_code", "company", *keys)
-    return asked.join(prices, keys, "left"), prices
-
-
-@query(
-    "geo_price_fallback_whole",
-    f"""with {WHOLE_PRICES},
-    chain(needs, offer, rank) as (values {CHAIN}),
-    offers as (
-      select p.sellout_dm, c.needs as _dest_key, p.billing_currency, p._year, p._semester,
-        arg_min(p.pm_omogeneo, c.rank) as geo_price
-      from prices p join chain c on c.offer = p._dest_key group by all)
-    select a.order_key, a.line_no, a.item_code, a.company, a._dest_key,
-      coalesce(a.own_price, o.geo_price) as pm_omogeneo
-    from asked a left join offers o
-      using (sellout_dm, _dest_key, billing_currency, _year, _semester)""",
-    {"pm_omogeneo": FLOAT},
-)
-def geo_price_fallback_whole(i):
-    asked, prices = _whole_prices(i)
-    return pricing.geo_fallback(asked, prices, keys=FAMILY_KEYS).select(
-        "order_key", "line_no", "item_code", "company", "_dest_key", "pm_omogeneo"
-    )
-
-
-@query("temporal_price_fallback_whole", f"with {WHOLE_PRICES} {ASOF}", {"pm_omogeneo": FLOAT})
-def temporal_price_fallback_whole(i):
-    asked, prices = _whole_prices(i)
-    return pricing.asof_price(asked, prices, FAMILY_KEYS).select(
-        "order_key", "line_no", "item_code", "company", "_year", "_semester", "pm_omogeneo"
-    )
-
-
-@query(
-    "newest_price_fallback_whole",
-    f"""with {WHOLE_PRICES},
-    newest as (
-      select sellout_dm, _dest_key, billing_currency,
-        arg_max(pm_omogeneo, _year * 2 + case when _semester = 'H2' then 1 else 0 end) as price
-      from prices group by all)
-    select a.order_key, a.line_no, a.item_code, a.company, a._year, a._semester,
-      coalesce(a.own_price, n.price) as pm_omogeneo
-    from asked a left join newest n using (sellout_dm, _dest_key, billing_currency)""",
-    {"pm_omogeneo": FLOAT},
-)
-def newest_price_fallback_whole(i):
-    asked, prices = _whole_prices(i)
-    return pricing.asof_price(asked, prices, FAMILY_KEYS, allow_future=True).select(
-        "order_key", "line_no", "item_code", "company", "_year", "_semester", "pm_omogeneo"
-    )
-
-
 RETAIL = """
 retail as (
   select sellout_dm, _year, _semester, sum(fx_transaction_lc) / sum(quantity) as avg_retail_price
