@@ -319,6 +319,71 @@ def test_following_documents(spark, docs, none, given_docs):
 
 
 # 5 and 10
+def events(grammar, text):
+    return [[(*event, token) for event, token in found] for _, found in grammar.clauses(text)]
+
+
+def all_paths(machine, clause):
+    """Weight and written symbols of every accepted path, by trying all of them."""
+    paths = [(machine.start, 0.0, ())]
+    for _, readings in clause:
+        paths = [
+            (to, weight + own + more, (*written, out))
+            for state, weight, written in paths
+            for symbol, own in readings.items()
+            for out, more, to in machine.arcs.get((state, symbol), ())
+        ]
+    return [(weight, written) for state, weight, written in paths if state in machine.finals]
+
+
+def test_clauses_against_all_paths():
+    rng = np.random.default_rng(8)
+    weights = {event: float(w) for event, w in zip(toxicity.EVENTS, rng.normal(size=len(toxicity.EVENTS)))}
+    grammar = toxicity.Grammar({"fool": 1.5, "clown": 0.7}, {}, weights, None)
+    names = ["fool", "clown", "kill", "beat", "you", "him", "not", "said", "will", "tree"]
+    steps = [
+        toxicity._insults(),
+        toxicity._threats(),
+        toxicity._targets(),
+        toxicity._after(toxicity.NEGATION, "negated"),
+        toxicity._after(toxicity.REPORT, "reported"),
+        toxicity._weighing(weights),
+    ]
+    for _ in range(400):
+        clause = [(t, grammar.readings(t)[1]) for t in rng.choice(names, rng.integers(1, 7))]
+        paths = all_paths(grammar.machine, clause)
+        weight, found = grammar.machine.best_path(clause, toxicity.WRITTEN)
+        assert weight == pytest.approx(max(w for w, _ in paths))
+        # One transducer after the other, each on all that the one before wrote.
+        chained = dict(readings_of(clause))
+        for step in steps:
+            after = {}
+            for symbols, w in chained.items():
+                for more, written in all_paths(step, [(None, {s: 0.0}) for s in symbols]):
+                    after[written] = max(w + more, after.get(written, -np.inf))
+            chained = after
+        assert weight == pytest.approx(max(chained.values()))
+        assert any(v == pytest.approx(weight) and [s for s in k if s in toxicity.WRITTEN] == [e for e, _ in found] for k, v in chained.items())
+
+
+def readings_of(clause):
+    sequences = [((), 0.0)]
+    for _, readings in clause:
+        sequences = [((*s, symbol), w + own) for s, w in sequences for symbol, own in readings.items()]
+    return sequences
+
+
+def test_clause_patterns():
+    grammar = toxicity.Grammar({"fool": 3.0}, {"zork": 2.0}, toxicity.event_weights({}, 0.1), None)
+    weight = lambda text: sum(w for w, _ in grammar.clauses(text))
+    assert weight("you are a fool") == 3 and weight("a zorkling") == 2
+    assert 0 < weight("you are certainly, after all that was tried here, not a fool") < 3
+    assert 0 < weight("she said that you are a fool") < 3
+    assert weight("you fool and fool") == 6 and weight("they should burn you") > 0
+    assert not grammar.clauses("burn the wood") and not grammar.clauses("not zorked") and not grammar.clauses("")
+    assert not grammar.clauses("kill time. you") and len(grammar.clauses("fool\nfool")) == 2
+
+
 def test_toxicity_grammar(spark, docs, none):
     rng = np.random.default_rng(5)
     rows = []
@@ -333,8 +398,18 @@ def test_toxicity_grammar(spark, docs, none):
     scored = {r.doc_id: r for r in toxicity.score_toxicity(table, grammar, ["doc_id"]).collect()}
     held = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5 == 0]
     assert np.mean([(scored[i].score >= 0.5) == bool(y) for i, _, y in held]) > 0.97
-    assert [m[0] for m in grammar.matches("you fool. not a fool! he said fool; fool")] == ["aimed", "negated", "reported", "plain"]
-    assert [m[2] for m in grammar.matches("I will kill you. kill time")] == ["kill"]
+    far = " ".join(["so"] * 5_000)
+    assert events(grammar, f"you fool. fool {far} you! he said fool; fool") == [
+        [("insult", "aimed", "fool")],
+        [("insult", "aimed", "fool")],
+        [("insult", "reported", "fool")],
+        [("insult", "plain", "fool")],
+    ]
+    assert events(grammar, "I want to kill you. kill time. you fool but they will beat him") == [
+        [("menace", "aimed", "kill")],
+        [("insult", "aimed", "fool")],
+        [("vow", "aimed", "beat")],
+    ]
     odd = toxicity.score_toxicity(docs, grammar, ["doc_id", "label"]).collect()
     assert len(odd) == len(ODD) and all(0 <= r.score <= 1 for r in odd)
     assert toxicity.score_toxicity(none, grammar, ["doc_id"]).count() == 0
