@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from tradeloom.llm.blocks import BLOCK_BYTES, map_texts, mix, powers
 
 GRAM = 16  # characters of a rolling hash
-WINDOW = 64  # neighbouring hashes of which one is kept: a match of GRAM + WINDOW - 1 characters is always seen
+WINDOW = 16  # neighbouring hashes of which one is kept: a match of GRAM + WINDOW - 1 characters is always seen
 GRAM_BASE = 0xA24BAED4963EE407
 GRAM_INVERSE = pow(GRAM_BASE, -1, 1 << 64)
 
