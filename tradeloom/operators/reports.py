@@ -185,10 +185,19 @@ def key_coverage(
 # -------------------------------------------------------------------------- flat exports
 
 
+# Columns of the transactional export that pass through as they are.
+CARRIED_CODES = (
+    "sales_organization", "sales_office", "business_unit", "line_of_business", "pac1", "pac23",
+    "country_code",
+)
+# Amounts of the transactional export, each with a ``_currency`` column.
+EXPORT_AMOUNTS = ("gross_sales", "sales_packet", "gross_avg_price", "packet_avg_price")
+
+
 def flat_report_a(df: DataFrame, company: str) -> DataFrame:
-    """Transactional export with coded text fields: one output row per line.
+    """Transactional export with coded text fields: one output row per line, all landing columns.
 
-    The month is ``MM.YYYY``; truncated values fall back to the year and month numbers.
+    Amounts that are no numbers become NULL, quantities 0. The month is ``MM.YYYY``; truncated values fall back to the year and month numbers.
     """
     dotted = F.try_to_date(F.concat(F.lit("01."), F.col("month_text")), "dd.MM.yyyy")
     year, month = F.col("year_no").try_cast("int"), F.col("month_no").try_cast("int")
@@ -210,16 +219,40 @@ def flat_report_a(df: DataFrame, company: str) -> DataFrame:
         F.array(F.trim("key_product"), F.trim("product_planning")).alias("item_categories"),
         text.leading_digits(F.col("sold_to")).alias("customer_code"),
         text.after_leading_digits(F.col("sold_to")).alias("customer"),
-        amount("gross_sales").alias("gross_sales"),
-        F.col("gross_sales_currency"),
+        F.col("account_group").alias("customer_account_assignment_group"),
+        *CARRIED_CODES,
+        *[column for name in EXPORT_AMOUNTS for column in (amount(name).alias(name), F.col(f"{name}_currency"))],
         F.coalesce(F.col("quantity").try_cast("double"), F.lit(0.0)).cast("int").alias("quantity"),
         F.col("quantity_uom"),
+        F.col("file_name"),
     )
 
 
+# Landing column of the delivery export -> its column in the file.
+DELIVERY_TEXTS = {
+    "product_family_level_1": "descripcion",
+    "brand_company": "marca",
+    "item_description": "producto",
+    "customer_raw": "cliente",
+    "locality": "localida",
+    "province": "provincia",
+    "price_list": "tarifa",
+}
+DELIVERY_CODES = {
+    "manufacturer_item_code": "codfabricante",
+    "postal_code": "postal_code",
+    "province_code": "codprovincia",
+    "country_code": "codpais",
+    "series": "serie",
+    "document_number": "document",
+    "product_line": "linea",
+}
+
+
 def flat_report_b(df: DataFrame, company: str) -> DataFrame:
-    """Delivery export with unit prices and charges: one output row per line.
+    """Delivery export with unit prices and charges: one output row per line, all landing columns.
 
+    Customer match, channel and data matrix are for later steps to fill and start as NULL.
     ``sheet_row`` counts data rows from zero; sheet rows start at 2 below the heads.
     """
     row_id = (F.col("sheet_row") + 2).cast("int")
@@ -242,9 +275,9 @@ def flat_report_b(df: DataFrame, company: str) -> DataFrame:
         F.concat(F.lit(f"{company}|"), item).alias("company_item_code"),
         F.lit(company).alias("company"),
         item.alias("item_code"),
-        text.squeeze_spaces(F.col("producto")).alias("item_description"),
-        text.squeeze_spaces(F.col("cliente")).alias("customer_raw"),
-        text.clean_identifier(F.col("postal_code")).alias("postal_code"),
+        *[text.squeeze_spaces(F.col(raw)).alias(name) for name, raw in DELIVERY_TEXTS.items()],
+        *[text.clean_identifier(F.col(raw)).alias(name) for name, raw in DELIVERY_CODES.items()],
+        *[F.lit(None).cast("string").alias(name) for name in ("clean_customer", "channel_raw", "data_matrix")],
         country.alias("country_raw"),
         country.alias("destination_country_raw"),
         gross.alias("gross_sales"),

@@ -220,7 +220,19 @@ V["flat_a"] = """
       case when l_linenumber = 6 then 'n/a' else cast(cast(l_extendedprice as decimal(18, 2)) as string)
         end as gross_sales, 'EUR' as gross_sales_currency,
       case when l_linenumber = 7 then '' else cast(cast(l_quantity as decimal(18, 1)) as string) end
-        as quantity, 'PC' as quantity_uom, l_shipdate as shipped, l_extendedprice as price,
+        as quantity, 'PC' as quantity_uom, 'SO' || cast(n_regionkey as string) as sales_organization,
+      'OF' || cast(n_nationkey as string) as sales_office, substr(p_brand, 1, 7) as business_unit,
+      l_returnflag as line_of_business, l_linestatus as pac1, cast(p_size as string) as pac23,
+      'C' || cast(n_nationkey as string) as country_code,
+      case when l_linenumber = 3 then '-' else cast(cast(l_tax as decimal(6, 4)) as string) end as sales_packet,
+      'PCK' as sales_packet_currency,
+      cast(cast(p_retailprice as decimal(18, 2)) as string) as gross_avg_price, 'EUR' as gross_avg_price_currency,
+      case when l_linenumber = 2 then '' else cast(cast(l_discount as decimal(6, 2)) as string) end
+        as packet_avg_price, 'USD' as packet_avg_price_currency,
+      'company_011_' || cast(n_nationkey as string) || '.xlsx' as file_name,
+      l_tax as tax, l_discount as discount, p_retailprice as retail, p_size as size,
+      l_returnflag as returned, l_linestatus as status, n_nationkey as k, n_regionkey as region,
+      l_shipdate as shipped, l_extendedprice as price,
       l_quantity as sold, p_name, p_type, p_brand, c_custkey, c_name, n_name, c_mktsegment
     from {lineitem} join {orders} on l_orderkey = o_orderkey
     join {customer} on o_custkey = c_custkey join {nation} on c_nationkey = n_nationkey
@@ -236,8 +248,16 @@ V["flat_a"] = """
       part_key || '' as item_code, p_name as item_description, p_type || '/' || p_brand as categories,
       c_custkey || '' as customer_code, c_name as customer,
       case when line_no <> 6 then price end as gross_sales, 'EUR' as gross_sales_currency,
+      account_group as customer_account_assignment_group, 'SO' || region as sales_organization,
+      'OF' || k as sales_office, p_brand[1:7] as business_unit, returned as line_of_business, status as pac1,
+      size || '' as pac23, 'C' || k as country_code,
+      case when line_no <> 3 then round(tax, 2) end as sales_packet, 'PCK' as sales_packet_currency,
+      retail as gross_avg_price, 'EUR' as gross_avg_price_currency,
+      case when line_no <> 2 then discount end as packet_avg_price, 'USD' as packet_avg_price_currency,
+      'company_011_' || k || '.xlsx' as file_name,
       case when line_no = 7 then 0 else cast(sold as int) end as quantity, 'PC' as quantity_uom
     from {flat_a}""",
+    {"sales_packet": 2, "gross_avg_price": 2, "packet_avg_price": 2},
 )
 def flat_report_a(i):
     parsed = reports.flat_report_a(i.flat_a, "COMPANY_011")
@@ -257,6 +277,13 @@ V["flat_b"] = """
       ' ' || p_name || '  ' || p_type as producto,
       case when c_custkey % 5 = 0 then ' ' else replace(c_name, '#', '  ') end as cliente,
       lpad(cast(c_custkey as string), 5, '0') as postal_code,
+      ' Type  ' || p_type || ' ' as descripcion, cast(l_suppkey as string) || '.0' as codfabricante,
+      p_brand || '  ' as marca, case when c_custkey % 7 = 0 then '  ' else 'Town  of ' || n_name end as localida,
+      cast(n_nationkey as string) || '.00' as codprovincia, ' ' || n_name as provincia,
+      'C' || cast(n_nationkey as string) || ' ' as codpais, l_returnflag || ' ' as serie,
+      cast(l_orderkey as string) || '.0' as document, cast(l_linenumber as string) as linea,
+      'Tarifa   ' || l_linestatus as tarifa, l_suppkey as supplier, p_brand, l_returnflag as returned,
+      l_linestatus as status, l_orderkey as order_key,
       cast(cast(l_quantity as int) as string) as unidades,
       cast(cast(l_extendedprice as decimal(18, 2)) as string) as precio,
       case when l_linenumber = 3 then 'libre' else cast(cast(l_discount as decimal(4, 2)) as string) end
@@ -277,7 +304,12 @@ V["flat_b"] = """
         'COMPANY_039|' || part_key as company_item_code, 'COMPANY_039' as company,
         part_key || '' as item_code, p_name || ' ' || p_type as item_description,
         case when c_custkey % 5 <> 0 then replace(c_name, '#', ' ') end as customer_raw,
-        lpad(c_custkey || '', 5, '0') as postal_code,
+        lpad(c_custkey || '', 5, '0') as postal_code, 'Type ' || p_type as product_family_level_1,
+        supplier || '' as manufacturer_item_code, p_brand as brand_company,
+        case when c_custkey % 7 <> 0 then 'Town of ' || n_name end as locality, k || '' as province_code,
+        n_name as province, 'C' || k as country_code, returned as series, order_key || '' as document_number,
+        line_no || '' as product_line, 'Tarifa ' || status as price_list, cast(null as varchar) as clean_customer,
+        cast(null as varchar) as channel_raw, cast(null as varchar) as data_matrix,
         case when k = 0 then 'Spain' else 'N' || lower(substr(n_name, 2)) end as country_raw,
         case when k = 0 then 'Spain' else 'N' || lower(substr(n_name, 2)) end as destination_country_raw,
         round(sold * price, 2) as gross_sales, case when line_no = 3 then 0 else charge end as sales_charge,
