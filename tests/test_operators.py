@@ -1,4 +1,5 @@
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -310,6 +311,92 @@ def test_block_ends_when_its_total_is_reached(spark, rows):
     )
 
 
+def plain_brands(sheet):
+    """Brand rows of one sheet, walked row by row."""
+    out, family, head, total, seen, opening = [], None, None, None, 0.0, True
+    for at, (familia, label, value) in enumerate(sheet):
+        if label.startswith("MARCA"):
+            opening = True
+            continue
+        if familia is not None:
+            family, opening = familia, True
+        if opening or (total is not None and seen >= total):
+            head, total, seen, opening = label, value, 0.0, False
+        elif value is not None:
+            out.append((at, family, head, label, value))
+            seen += value
+    return out
+
+
+@pytest.mark.parametrize("kind", ["totals", "wild", "one_head", "zeros"])
+def test_long_segments_are_walked_in_parts(spark, rows, kind):
+    chance = random.Random(kind)
+    sheet = [("FAMILY", "head 0", None if kind == "one_head" else 12.0)]
+    while len(sheet) < 3_000:
+        n = len(sheet)
+        if kind == "totals":  # heads whose brands add up, over up to 400 rows
+            brands = [float(chance.randint(1, 9)) for _ in range(chance.choice([1, 5, 400]))]
+            sheet += [(None, f"head {n}", sum(brands)), *[(None, f"brand {n}", v) for v in brands]]
+        elif kind == "wild":  # any figures, negative and absent ones too, and a few new segments
+            value = chance.choice([None, 0.0, *map(float, range(-5, 40))])
+            mark = chance.random()
+            label = "MARCA 4 (rellenar con nombre de la marca)" if mark < 0.001 else f"row {n}"
+            sheet.append(("NEXT" if mark > 0.999 else None, label, value))
+        else:
+            sheet.append((None, f"row {n}", 0.0 if kind == "zeros" else float(n % 7)))
+    df = spark.createDataFrame(
+        [("f", n, *row) for n, row in enumerate(sheet)],
+        "file_id string, row_idx int, familia string, label string, value double",
+    )
+    names = ("row_idx", "family", "subfamily", "brand", "quantity")
+    assert rows(reports.block_segments(df, 128), *names) == sorted(plain_brands(sheet), key=repr)
+    assert rows(reports.block_segments(df), *names) == sorted(plain_brands(sheet), key=repr)
+
+
+def test_a_segment_of_100_000_rows_uses_many_tasks(spark):
+    n, part = 100_000, 5_000
+    df = spark.range(n).select(
+        F.lit("f").alias("file_id"), F.col("id").alias("row_idx"), F.when(F.col("id") == 0, "F").alias("familia"),
+        F.concat(F.lit("row "), F.col("id")).alias("label"),
+        F.when(F.col("id") % 1000 == 0, 999.0).otherwise(1.0).alias("value"),
+    )
+    out = reports.block_segments(df, part)
+    found = out.groupBy("subfamily").agg(F.count("*").alias("n"), F.min("row_idx").alias("first")).collect()
+    assert {(r["subfamily"], r["n"], r["first"]) for r in found} == {
+        (f"row {head}", 999, head + 1) for head in range(0, n, 1000)
+    }
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so small parts keep their tasks
+    try:
+        tasks = out.withColumn("task", F.spark_partition_id()).groupBy("task").count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(tasks) > 1
+
+
+def test_brand_landing_reads_period_and_country(spark):
+    cells = spark.createDataFrame(
+        [("f", 1, 0, "espa\u00f1a"), ("f", 0, 0, "x"), ("g", 1, 0, " costa RICA "), ("h", 0, 0, "no title")],
+        "file_id string, row_idx int, col_idx int, text string",
+    )
+    names = spark.createDataFrame(
+        [("f", "acme_global_2026_q2.xlsx"), ("g", "acme_7_global_2025_h2.xlsx"), ("h", "acme_global_2024_03.xlsx")],
+        "file_id string, file_name string",
+    )
+    brands = spark.createDataFrame(
+        [(f, 1, "Fam", "Sub", "B", 2.0) for f in "fgh"],
+        "file_id string, row_idx long, family string, subfamily string, brand string, quantity double",
+    )
+    files = names.join(reports.sheet_countries(cells), "file_id")
+    found = reports.brand_landing(brands, files).orderBy("file_name").collect()
+    assert [(str(r["date"]), r["company"], r["country"], r["period_type"]) for r in found] == [
+        ("2025-07-01", "Acme_7", "Costa Rica", "semi-annual"),
+        ("2024-03-01", "Acme", None, "monthly"),
+        ("2026-04-01", "Acme", "Spain", "quarterly"),
+    ]
+    with pytest.raises(Exception, match="No period in the file name"):
+        reports.brand_landing(brands, files.withColumn("file_name", F.lit("notes.xlsx"))).collect()
+
+
 def test_span_expansion_matches_a_plain_layout(spark, rows):
     cells = [
         (0, 0, 2, 2, "corner"), (0, 1, 1, 3, "tall"), (0, 2, 2, 1, "wide"),

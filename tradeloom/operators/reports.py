@@ -7,6 +7,7 @@ number of files. A decoder outside this package produces them.
 from __future__ import annotations
 
 import sys
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -16,10 +17,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tradeloom.functions import dates, text
+from tradeloom.operators.joins import measured
 from tradeloom.operators.running import last_seen, running
 from tradeloom.session import cut_lineage
 
-# The two row walkers below travel with the job; executors need no copy of this package.
+# The row walkers below travel with the job; executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Month column heads of the monthly sheets, January first.
@@ -294,45 +296,116 @@ def flat_report_b(df: DataFrame, company: str) -> DataFrame:
 
 # -------------------------------------------------------------------- family / brand sheets
 
+SEGMENT_ROWS = 20_000  # row numbers of one part of a long segment; parts are walked apart
+_TOTAL_TOLERANCE = 1e-9
 _BRAND_SCHEMA = (
     "file_id string, row_idx long, family string, subfamily string, brand string, quantity double"
 )
-_TOTAL_TOLERANCE = 1e-9
+_PART_SCHEMA = (
+    "file_id string, segment long, part long, total double, "
+    "limits array<double>, rests array<double>, heads array<string>"
+)
+_ENTRY_SCHEMA = "file_id string, segment long, part long, rest double, head string"
+
+
+def _wanted(total: float) -> float:
+    """What brands must add up to before the next head; a head without a total waits for its segment's end."""
+    return float("inf") if pd.isna(total) else total - _TOTAL_TOLERANCE * max(1.0, abs(total))
+
+
+def _part_outcomes(part: pd.DataFrame) -> pd.DataFrame:
+    """What one part of a segment makes of any state that enters it, in one row.
+
+    The state is the rest that brands still owe to the open head. A head opens after the first row whose running
+    sum reaches the rest, and from there on all is settled, so an entering rest matters only by the running
+    maximum that it is met by: ``limits`` are those maxima, ``rests`` and ``heads`` the state that leaves the
+    part for each. A rest above all limits leaves less ``total``.
+    """
+    labels = part["label"].tolist()
+    wanted = [_wanted(v) for v in part["value"]]
+    sums = part["value"].fillna(0.0).cumsum().tolist()
+    n, end = len(sums), sums[-1]
+    leaving: list[tuple[float, str | None]] = [(0.0, None)] * n
+    # Rows that lift the running maximum of what follows, the nearest and lowest at the end of the list.
+    at: list[int] = []
+    negated: list[float] = []
+    for row in range(n - 1, -1, -1):
+        while negated and -negated[-1] <= sums[row]:
+            negated.pop()
+            at.pop()
+        negated.append(-sums[row])
+        at.append(row)
+        found = bisect_right(negated, -(sums[row] + wanted[row])) - 1
+        met = at[found] if found >= 0 else n - 1
+        leaving[row] = leaving[met + 1] if met < n - 1 else (wanted[row] - (end - sums[row]), labels[row])
+    limits, outcomes = [], []
+    for row, reached in enumerate([0.0, *sums[:-1]]):
+        if limits and reached <= limits[-1]:
+            continue
+        if outcomes and outcomes[-1] == leaving[row]:
+            limits[-1] = reached  # chains of heads soon meet, which keeps this list short
+        else:
+            limits.append(reached)
+            outcomes.append(leaving[row])
+    return pd.DataFrame(
+        {
+            "file_id": part["file_id"].iloc[:1], "segment": part["segment"].iloc[:1], "part": part["part"].iloc[:1],
+            "total": [end], "limits": [limits], "rests": [[r for r, _ in outcomes]], "heads": [[h for _, h in outcomes]],
+        }
+    )
+
+
+def _entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The state that enters each part, from outcomes sorted by file, segment and part."""
+    segment, rest, head = None, 0.0, None
+    for batch in batches:
+        found = []
+        for file_id, number, part, total, limits, rests, heads in batch.itertuples(index=False):
+            if (file_id, number) != segment:
+                segment, rest, head = (file_id, number), float("-inf"), None
+            found.append((file_id, number, part, rest, head))
+            met = bisect_left(limits, rest)
+            rest, head = (rests[met], heads[met]) if met < len(limits) else (rest - total, head)
+        yield pd.DataFrame(found, columns=["file_id", "segment", "part", "rest", "head"])
 
 
 def _brand_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Tell subfamily heads from brand rows in rows sorted by file, segment and row.
+    """Tell subfamily heads from brand rows in rows sorted by file, segment, part and row.
 
-    State is one open subfamily, carried across batches, so memory stays constant for a
-    segment of any length.
+    State is one open subfamily, carried across batches, so memory stays constant. A part without an entry row
+    is a whole segment.
     """
-    segment, subfamily, total, seen = None, None, None, 0.0
+    place, subfamily, rest = None, None, 0.0
     for batch in batches:
         found = []
         rows = zip(
-            batch["file_id"], batch["segment"], batch["row_idx"],
+            batch["file_id"], batch["segment"], batch["part"], batch["is_row"], batch["row_idx"],
             batch["family"], batch["label"], batch["value"],
         )
-        for file_id, number, row_idx, family, label, value in rows:
-            full = total is not None and seen >= total - _TOTAL_TOLERANCE * max(1.0, abs(total))
-            if (file_id, number) != segment or full:
-                segment, subfamily, seen = (file_id, number), label, 0.0
-                total = None if pd.isna(value) else value
+        for file_id, number, part, is_row, row_idx, family, label, value in rows:
+            if not is_row:
+                place, subfamily, rest = (file_id, number, part), label, value
+                continue
+            if (file_id, number, part) != place or rest <= 0:
+                place, subfamily, rest = (file_id, number, part), label, _wanted(value)
             elif not pd.isna(value):
                 found.append((file_id, row_idx, family, subfamily, label, value))
-                seen += value
+                rest -= value
         yield pd.DataFrame(
             found, columns=["file_id", "row_idx", "family", "subfamily", "brand", "quantity"]
         )
 
 
-def block_segments(rows: DataFrame) -> DataFrame:
+def block_segments(rows: DataFrame, part_rows: int = SEGMENT_ROWS) -> DataFrame:
     """Brand rows of family / subfamily / brand sheets, with their family and subfamily.
 
     ``rows``: ``file_id, row_idx, familia, label, value``. A placeholder row or a filled
     family always opens a new block, which splits a sheet into independent segments found
     with running sums. Inside a segment the next head follows once the brands add up to the
-    total of the current one; that depends on the data and is walked row by row.
+    total of the current one. Segments over more than one part of ``part_rows`` row numbers are
+    walked in parallel: each part is first reduced to its outcome for any state, the states that
+    enter the parts follow from these few rows, then every part is walked on its own.
+    Figures are finite; a row without one is no brand, and a head without one lasts to the segment's end.
     """
     label = F.trim("label")
     placeholder = F.coalesce(label.rlike(PLACEHOLDER_ROW), F.lit(False))
@@ -354,15 +427,84 @@ def block_segments(rows: DataFrame) -> DataFrame:
         sums={"segment": F.col("opens")},
         maxima={"seen": last_seen("row_idx", named, F.col("familia"))},
     )
+    lines = cut_lineage(
+        carried.filter(~F.col("placeholder")).select(
+            "file_id",
+            F.col("segment").cast("long").alias("segment"),
+            F.floor(F.col("row_idx") / part_rows).cast("long").alias("part"),
+            F.lit(True).alias("is_row"),
+            "row_idx",
+            F.col("seen.value").alias("family"),
+            "label",
+            "value",
+        )
+    )
+    whole = ["file_id", "segment"]
+    long = lines.groupBy(*whole).agg(F.min("part").alias("first"), F.max("part").alias("last"))
+    long = measured(long.filter("first < last").select(*whole))
+    outcomes = (
+        lines.join(long, whole, "left_semi")
+        .groupBy(*whole, "part")
+        .applyInPandas(lambda part: _part_outcomes(part.sort_values("row_idx")), _PART_SCHEMA)
+    )
+    entries = (
+        outcomes.repartition(*whole)
+        .sortWithinPartitions(*whole, "part")
+        .mapInPandas(_entries, _ENTRY_SCHEMA)
+        .select(
+            *whole,
+            "part",
+            F.lit(False).alias("is_row"),
+            F.lit(None).cast("long").alias("row_idx"),
+            F.lit(None).cast("string").alias("family"),
+            F.col("head").alias("label"),
+            F.col("rest").alias("value"),
+        )
+    )
     return (
-        carried.filter(~F.col("placeholder"))
-        .select("file_id", "segment", "row_idx", F.col("seen.value").alias("family"), "label", "value")
-        .repartition("file_id", "segment")
-        .sortWithinPartitions("file_id", "segment", "row_idx")
+        lines.unionByName(entries)
+        .repartition(*whole, "part")
+        .sortWithinPartitions(*whole, "part", "is_row", "row_idx")
         .mapInPandas(_brand_rows, _BRAND_SCHEMA)
     )
 
 
+def sheet_countries(cells: DataFrame) -> DataFrame:
+    """``file_id, country`` of family sheets: their first cell of the second row, by its known name or in title case."""
+    named = F.max(F.when((F.col("row_idx") == 1) & (F.col("col_idx") == 0), F.col("text")))
+    titles = cells.groupBy("file_id").agg(named.alias("title"))
+    return titles.select("file_id", text.display_name(F.col("title"), COUNTRY_OVERRIDES).alias("country"))
+
+
+def brand_landing(brands: DataFrame, files: DataFrame) -> DataFrame:
+    """Landing rows of the brand rows of family sheets (see :func:`block_segments`).
+
+    ``files``: ``file_id, file_name, country`` of each file, the country from its sheet. Company, period and date
+    come from the file's name; a file whose name tells none fails the import.
+    """
+    meta = filename_metadata(F.col("file_name"))
+    refused = F.raise_error(F.concat(F.lit("No period in the file name "), F.coalesce("file_name", F.lit(""))))
+    files = files.select(
+        F.col("file_id").cast("string").alias("file_id"),
+        F.coalesce(meta["date"], refused.cast("date")).alias("date"),
+        meta["company"].alias("company"),
+        "country",
+        meta["period_type"].alias("period_type"),
+        "file_name",
+    )
+    return brands.join(files, "file_id").select(
+        "date",
+        "company",
+        "country",
+        F.col("brand").alias("item_description"),
+        F.array("family", "subfamily").alias("item_categories"),
+        "quantity",
+        "period_type",
+        "file_name",
+        "row_idx",
+    )
+
+
 # --------------------------------------------------------------------- spanned header grid
 
 _GRID_SCHEMA = "file_id string, row_idx long, col_idx long, text string, num double"
@@ -603,3 +745,53 @@ def matrix_to_long(cells: DataFrame, leaves: DataFrame, roles: DataFrame) -> Dat
         F.coalesce("gross_sales", F.lit(0.0)).alias("gross_sales"),
         F.coalesce("quantity", F.lit(0.0)).alias("quantity"),
     )
+
+
+MATRIX_CURRENCY = "EUR"  # fixed value
+
+
+def matrix_landing(long: DataFrame, files: DataFrame, brand: str) -> DataFrame:
+    """Landing rows of product and partner figures (see :func:`matrix_to_long`), all landing columns.
+
+    ``long`` also has ``month_text``, the month's number of each product row; ``files``: ``file_id, file_name``. Company,
+    destination country, channel and year come from the file's name, ``brand`` is the maker that all its products
+    have; a row without a date fails the import.
+    Customer match, country and data matrix are for later steps to fill and start as NULL.
+    """
+    meta = filename_metadata(F.col("file_name"))
+    files = files.select(
+        "file_id",
+        "file_name",
+        F.regexp_replace("file_name", r"\.[^.]+$", "").alias("stem"),
+        *[meta[name].alias(name) for name in ("company", "country", "channel", "year")],
+    )
+    month = F.trim("month_text").try_cast("int")
+    date = F.when(month.between(1, 12), F.make_date("year", month, F.lit(1)))
+    refused = F.raise_error(
+        F.concat(F.lit("No date in row "), F.col("row_idx"), F.lit(" of "), F.coalesce("file_name", F.lit("")))
+    )
+    nothing = F.lit(None).cast("string")
+    return long.join(files, "file_id").select(
+        F.coalesce(date, refused.cast("date")).alias("date"),
+        F.col("row_idx").alias("source_row_id"),
+        F.concat_ws("|", "stem", "channel", F.col("row_idx").cast("string"), "partner_id").alias("source_key"),
+        F.concat_ws("|", "company", "item_code").alias("company_item_code"),
+        "company",
+        F.trim("description").alias("item_description"),
+        F.lit(brand).alias("brand_company"),
+        "item_code",
+        F.col("channel").alias("channel_raw"),
+        "customer_raw",
+        nothing.alias("clean_customer"),
+        nothing.alias("country_raw"),
+        F.col("country").alias("destination_country_raw"),
+        F.lit(MATRIX_CURRENCY).alias("gross_sales_currency"),
+        F.lit("month").alias("time_frames"),
+        F.lit(None).cast("double").alias("volumes"),
+        "quantity",
+        "gross_sales",
+        nothing.alias("data_matrix"),
+        F.lit("sell-out").alias("data_collection"),
+        F.lit("sell-out").alias("project"),
+        "file_name",
+    )

@@ -363,6 +363,37 @@ def block_segments(i):
     return reports.block_segments(i.stored("brand_sheet"))
 
 
+# The title of a family sheet is its country, two of them written in Spanish and in capitals.
+V["brand_files"] = """
+    select distinct s_nationkey as k, 'S' || cast(s_nationkey as string) || '-' || cast(year(l_shipdate) as string) as file_id,
+      'Company_' || cast(s_nationkey as string) || '_global_' || cast(year(l_shipdate) as string) || '_' ||
+        case s_nationkey % 4 when 0 then 'q3' when 1 then 'H2' when 2 then '11' else 'q1' end || '.xlsx' as file_name
+    from {lineitem} join {supplier} on l_suppkey = s_suppkey"""
+V["brand_titles"] = """
+    select file_id, 1 as row_idx, 0 as col_idx, case when k = 3 then ' ESPA\u00d1A ' else ' ' || n_name end as text
+    from {brand_files} join {nation} on k = n_nationkey
+    union all select file_id, 0, 0, 'Report' from {brand_files}
+    union all select file_id, 1, 1, 'other' from {brand_files}"""
+
+
+@query(
+    "brand_landing",
+    """select cast(left(split_part(file_name, '_', 4), 4) || case k % 4 when 0 then '-07-01' when 1 then '-07-01'
+        when 2 then '-11-01' else '-01-01' end as date) as date,
+      'Company_' || k as company, case when k = 3 then 'Spain' else country end as country,
+      brand as item_description, family || '/Sub ' || q as categories, quantity,
+      case k % 4 when 1 then 'semi-annual' when 2 then 'monthly' else 'quarterly' end as period_type, file_name,
+      t * 1000000 + q * 10000 + b as row_idx
+    from {brand_lines} join {brand_files} using (file_id)
+    join (select n_nationkey as k, array_to_string(list_transform(string_split(lower(n_name), ' '),
+      lambda w: upper(w[1]) || w[2:]), ' ') as country from {nation}) n using (k)""",
+)
+def brand_landing(i):
+    files = i.brand_files.join(reports.sheet_countries(i.brand_titles), "file_id")
+    rows = reports.brand_landing(reports.block_segments(i.stored("brand_sheet"), 2_000), files)
+    return rows.withColumn("categories", F.array_join("item_categories", "/")).drop("item_categories")
+
+
 # ---------------------------------------------------------------------------- spanned grid
 
 V["span_leaves"] = """
@@ -511,3 +542,34 @@ def matrix_to_long(i):
     return long.withColumn("categories", F.array_join("item_categories", "/")).drop(
         "item_categories"
     )
+
+
+V["matrix_files"] = """
+    select distinct file_id, 'Company_' || cast(floor(cast(file_id as bigint) / 10000) as bigint) || '_italy_' ||
+      case when odd = 1 then 'directsales_' else 'distributor_' end ||
+      cast(cast(file_id as bigint) % 10000 as string) || '_q4.mhtml' as file_name
+    from {matrix_lines}"""
+
+
+@query(
+    "matrix_landing",
+    f"""select make_date(cast(cast(file_id as bigint) % 10000 as int), cast(m as int), 1) as date,
+      {_LEAF_ROW} as source_row_id,
+      replace(file_name, '.mhtml', '') || '|' || case when odd = 1 then 'direct_sales' else 'distributor' end ||
+        '|' || ({_LEAF_ROW}) || '|' || (1000 + s) as source_key,
+      split_part(file_name, '_italy', 1) || '|A' || l_partkey as company_item_code,
+      split_part(file_name, '_italy', 1) as company, p_name as item_description, 'Maker' as brand_company,
+      'A' || l_partkey as item_code, case when odd = 1 then 'direct_sales' else 'distributor' end as channel_raw,
+      c_mktsegment as customer_raw, cast(null as varchar) as clean_customer, cast(null as varchar) as country_raw,
+      'Italy' as destination_country_raw, 'EUR' as gross_sales_currency, 'month' as time_frames,
+      cast(null as double) as volumes, quantity * case when s % 2 = 0 then 1000 else 1 end as quantity,
+      sales as gross_sales, cast(null as varchar) as data_matrix, 'sell-out' as data_collection,
+      'sell-out' as project, file_name
+    from {{matrix_lines}} join {{matrix_files}} using (file_id)""",
+    {"gross_sales": 2, "quantity": 2},
+)
+def matrix_landing(i):
+    cells = i.stored("matrix_cells")
+    leaves = reports.hierarchy_leaves(_sheet_rows(cells))
+    long = reports.matrix_to_long(cells, leaves, reports.header_roles(cells))
+    return reports.matrix_landing(long, i.matrix_files, "Maker")
