@@ -9,6 +9,7 @@ from __future__ import annotations
 import sys
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Sequence
+from itertools import accumulate
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -313,17 +314,16 @@ def _wanted(total: float) -> float:
     return float("inf") if pd.isna(total) else total - _TOTAL_TOLERANCE * max(1.0, abs(total))
 
 
-def _part_outcomes(part: pd.DataFrame) -> pd.DataFrame:
-    """What one part of a segment makes of any state that enters it, in one row.
+def _part_outcome(labels: list[str | None], values: list[float]) -> tuple[float, list, list, list]:
+    """What one part of a segment makes of any state that enters it: its total and limits, rests and heads.
 
     The state is the rest that brands still owe to the open head. A head opens after the first row whose running
     sum reaches the rest, and from there on all is settled, so an entering rest matters only by the running
     maximum that it is met by: ``limits`` are those maxima, ``rests`` and ``heads`` the state that leaves the
     part for each. A rest above all limits leaves less ``total``.
     """
-    labels = part["label"].tolist()
-    wanted = [_wanted(v) for v in part["value"]]
-    sums = part["value"].fillna(0.0).cumsum().tolist()
+    wanted = [_wanted(v) for v in values]
+    sums = list(accumulate(0.0 if pd.isna(v) else v for v in values))
     n, end = len(sums), sums[-1]
     leaving: list[tuple[float, str | None]] = [(0.0, None)] * n
     # Rows that lift the running maximum of what follows, the nearest and lowest at the end of the list.
@@ -338,7 +338,8 @@ def _part_outcomes(part: pd.DataFrame) -> pd.DataFrame:
         found = bisect_right(negated, -(sums[row] + wanted[row])) - 1
         met = at[found] if found >= 0 else n - 1
         leaving[row] = leaving[met + 1] if met < n - 1 else (wanted[row] - (end - sums[row]), labels[row])
-    limits, outcomes = [], []
+    limits: list[float] = []
+    outcomes: list[tuple[float, str | None]] = []
     for row, reached in enumerate([0.0, *sums[:-1]]):
         if limits and reached <= limits[-1]:
             continue
@@ -347,12 +348,25 @@ def _part_outcomes(part: pd.DataFrame) -> pd.DataFrame:
         else:
             limits.append(reached)
             outcomes.append(leaving[row])
-    return pd.DataFrame(
-        {
-            "file_id": part["file_id"].iloc[:1], "segment": part["segment"].iloc[:1], "part": part["part"].iloc[:1],
-            "total": [end], "limits": [limits], "rests": [[r for r, _ in outcomes]], "heads": [[h for _, h in outcomes]],
-        }
-    )
+    return end, limits, [rest for rest, _ in outcomes], [head for _, head in outcomes]
+
+
+def _part_outcomes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One row per part, from rows sorted by file, segment, part and row; one part is held at a time."""
+    names = ["file_id", "segment", "part", "total", "limits", "rests", "heads"]
+    place, labels, values = None, [], []
+    for batch in batches:
+        done = []
+        for *own, label, value in zip(*[batch[c] for c in ("file_id", "segment", "part", "label", "value")]):
+            if own != place:
+                if place is not None:
+                    done.append((*place, *_part_outcome(labels, values)))
+                place, labels, values = own, [], []
+            labels.append(label)
+            values.append(value)
+        yield pd.DataFrame(done, columns=names)
+    if place is not None:
+        yield pd.DataFrame([(*place, *_part_outcome(labels, values))], columns=names)
 
 
 def _entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -402,8 +416,8 @@ def block_segments(rows: DataFrame, part_rows: int = SEGMENT_ROWS) -> DataFrame:
     ``rows``: ``file_id, row_idx, familia, label, value``. A placeholder row or a filled
     family always opens a new block, which splits a sheet into independent segments found
     with running sums. Inside a segment the next head follows once the brands add up to the
-    total of the current one. Segments over more than one part of ``part_rows`` row numbers are
-    walked in parallel: each part is first reduced to its outcome for any state, the states that
+    total of the current one. Segments of more than ``part_rows`` rows are walked in parallel, in
+    parts of as many row numbers: each part is first reduced to its outcome for any state, the states that
     enter the parts follow from these few rows, then every part is walked on its own.
     Figures are finite; a row without one is no brand, and a head without one lasts to the segment's end.
     """
@@ -431,8 +445,6 @@ def block_segments(rows: DataFrame, part_rows: int = SEGMENT_ROWS) -> DataFrame:
         carried.filter(~F.col("placeholder")).select(
             "file_id",
             F.col("segment").cast("long").alias("segment"),
-            F.floor(F.col("row_idx") / part_rows).cast("long").alias("part"),
-            F.lit(True).alias("is_row"),
             "row_idx",
             F.col("seen.value").alias("family"),
             "label",
@@ -440,12 +452,17 @@ def block_segments(rows: DataFrame, part_rows: int = SEGMENT_ROWS) -> DataFrame:
         )
     )
     whole = ["file_id", "segment"]
-    long = lines.groupBy(*whole).agg(F.min("part").alias("first"), F.max("part").alias("last"))
-    long = measured(long.filter("first < last").select(*whole))
+    long = lines.groupBy(*whole).agg(F.count("*").alias("n")).filter(F.col("n") > part_rows)
+    long = measured(long.select(*whole, F.lit(True).alias("is_long")))
+    parts = lines.join(long, whole, "left").withColumn(
+        "part", F.when(F.col("is_long"), F.floor(F.col("row_idx") / part_rows)).cast("long")
+    )
     outcomes = (
-        lines.join(long, whole, "left_semi")
-        .groupBy(*whole, "part")
-        .applyInPandas(lambda part: _part_outcomes(part.sort_values("row_idx")), _PART_SCHEMA)
+        parts.filter("is_long")
+        .select(*whole, "part", "label", "value", "row_idx")
+        .repartition(*whole, "part")
+        .sortWithinPartitions(*whole, "part", "row_idx")
+        .mapInPandas(_part_outcomes, _PART_SCHEMA)
     )
     entries = (
         outcomes.repartition(*whole)
@@ -462,7 +479,9 @@ def block_segments(rows: DataFrame, part_rows: int = SEGMENT_ROWS) -> DataFrame:
         )
     )
     return (
-        lines.unionByName(entries)
+        parts.drop("is_long")
+        .withColumns({"is_row": F.lit(True), "part": F.coalesce("part", F.lit(0))})
+        .unionByName(entries)
         .repartition(*whole, "part")
         .sortWithinPartitions(*whole, "part", "is_row", "row_idx")
         .mapInPandas(_brand_rows, _BRAND_SCHEMA)
