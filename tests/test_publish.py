@@ -10,7 +10,7 @@ from tradeloom.operators.joins import lookup_join, measured, proven_unique
 from tradeloom.operators.quality import control_totals
 from tradeloom.plans import products
 from tradeloom.session import cut_lineage, intermediates, shared_folder, stored_bytes
-from tradeloom.sources import publish
+from tradeloom.sources import publish, sinks
 from tradeloom.sources.publish import ReconciliationError, load_reconciled, observed_write, publish_partitions, published
 from tradeloom.streaming import ledger
 
@@ -232,3 +232,27 @@ def test_hierarchy_leaves_gaps_null(spark):
     assert sorted(map(tuple, found.select("master_code_id", "a_code", "b_desc", "path").collect())) == [
         (1, "X", "ex", "X > X"), (2, "X", None, "X"), (3, None, "ex", "X")
     ]
+
+
+def test_merge_reads_only_touched_partitions(spark):
+    shape = "k int, period string, v int"
+    spark.sql("drop table if exists merged")
+    old = [(1, "p1", 1), (2, "p2", 2), (None, None, 3), (4, "p3", 4)]
+    spark.createDataFrame(old, shape).write.partitionBy("period").saveAsTable("merged")
+    new = spark.createDataFrame([(1, "p1", 9), (5, "p1", 5), (None, None, 9), (1, None, 6), (1, "p9", 7)], shape)
+    fresh = sinks.insert_only(spark.table("merged"), new, ["k", "period"], ["period"])
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(period" in plan and "p9" in plan and "p2" not in plan
+    for _ in range(2):  # again: nothing is new
+        sinks.merge_table(new, "merged", ["k", "period"])
+        found = sorted(((r["k"], r["period"], r["v"]) for r in spark.table("merged").collect()), key=repr)
+        assert found == sorted([*old, (5, "p1", 5), (1, None, 6), (1, "p9", 7)], key=repr)
+    assert {c.name for c in spark.catalog.listColumns("merged") if c.isPartition} == {"period"}
+    empty = new.where("false")
+    assert sinks.insert_only(spark.table("merged"), empty, ["k", "period"], ["period"]).isEmpty()
+    limit, sinks.PRUNE_VALUES = sinks.PRUNE_VALUES, 1  # beyond the limit the join alone decides
+    try:
+        assert sinks.insert_only(spark.table("merged"), new, ["k", "period"], ["period"]).isEmpty()
+    finally:
+        sinks.PRUNE_VALUES = limit
+        spark.sql("drop table merged")
