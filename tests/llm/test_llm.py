@@ -611,3 +611,20 @@ def test_vectors_of_doubles(spark):
     given = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     found = {r.id: r.class_id for r in vector_graph.near_classes(given, Tables(spark)).collect()}
     assert found == {i: i % 6 for i in range(30)}
+
+
+def test_parts_without_hope_hold_no_passage():
+    chance = np.random.default_rng(5)
+    said = Counter()
+    for _ in range(3000):
+        n = int(chance.integers(1, 130))
+        b = chance.permutation(1000)[:n].astype(np.int32)
+        a = b.copy()
+        a[chance.random(n) < chance.choice([0.0, 0.1, 0.19, 0.22, 0.3])] = 5000
+        if chance.random() < 0.3:
+            a = np.roll(a, int(chance.integers(0, 40)))
+        found = bool(passages.passages_of(b, a))
+        hope = bool(passages.hopeful(np.isin(b, a)[None, :])[0])
+        assert hope or not found
+        said[hope, found] += 1
+    assert said[True, True] > 500 and said[False, False] > 500
