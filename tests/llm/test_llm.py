@@ -175,6 +175,26 @@ def test_no_anchor_hides_later_copies(spark):
         assert not found[10 * k] and not found[10 * k + 1] and not found[10 * k + 2]
 
 
+def test_links_between_unlike_sources_are_kept(spark):
+    rows, expected = [], {}
+    for k in range(40):
+        shared = words(56, 100_000 + k)
+        first, second = ([f"edit{k}" if i == at else w for i, w in enumerate(shared)] for at in (18, 38))
+        # Each version is alike to the whole (47 of 57 shingles), but not to the other one (42 of 62).
+        for i, body in enumerate((first, second, shared)):
+            rows.append((10 * k + i, " ".join([*words(60, 110_000 + 10 * k + i), *body, *words(60, 120_000 + 10 * k + i)])))
+            expected[10 * k + i] = 10 * k
+    for k in range(100, 110):
+        line = words(15, 130_000 + k)  # one line is alike by 11 of 15 shingles to the same line again and again
+        for i, times in enumerate((1, 4, 4)):
+            rows.append((10 * k + i, " ".join([*words(60, 140_000 + 10 * k + i), *line * times, *words(60, 150_000 + 10 * k + i)])))
+            expected[10 * k + i] = 10 * k + min(i, 1)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {r.doc_id: r.class_id for r in passages.passage_classes(docs, Tables(spark)).collect()}
+    lost = {d: (c, expected[d]) for d, c in found.items() if c != expected[d]}
+    assert not lost
+
+
 def test_recall_of_edited_passages(spark):
     rows, pairs = [], 400
     for k in range(pairs):

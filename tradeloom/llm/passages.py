@@ -3,32 +3,36 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradeloom.llm.blocks import BLOCK_BYTES, SHINGLE_WORDS, Words, int_list, mix, slices
+from tradeloom.llm.blocks import SHINGLE_WORDS, Words, int_list, mix, slices
 from tradeloom.llm.components import components
 from tradeloom.llm.store import Tables
 
 LEAST_WORDS = 50  # a shorter passage is no repeat
 LEAST = LEAST_WORDS - SHINGLE_WORDS + 1  # the same in shingles
-HASHES = 4  # a power of two: the number of the hash function is kept in the lowest bits of a hash
-ENOUGH = 2  # hash functions that must agree with an anchor; one is enough in a group, which 998 in 1000 pairs at 0.8 have
 SIMILARITY = 0.8
 SPARE = 1 / SIMILARITY - 1  # unmatched shingles that a passage may hold for each matched one
 SHIFT = 16  # words by which insertions may move a match, or SPARE of the span where that is more
-WINDOW_BYTES = 500_000  # text of the documents whose windows are one row
-NEAR = 64  # shingles on either side of a shared minimum by which members of a group are compared
 LEAST_SHARED = math.ceil(SIMILARITY * LEAST)  # shingles that texts with a common passage share at least
+# An edit or a move leaves 8 shingles or more unmatched, so k unbroken runs are alike only if they hold 32 (k - 1)
+# matches and LEAST_SHARED: one run has 19 shingles, which are 23 words. Windows of such runs miss no passage.
+RUN_WORDS = math.ceil(LEAST_SHARED / 2) + SHINGLE_WORDS - 1
+PROBE_WORDS = 12  # words of one hash of a window
+RUN = RUN_WORDS - PROBE_WORDS + 1  # the same run in hashes
+PART = 2 * LEAST  # a longer passage has a shorter part (of LEAST or more) that is alike too
+BESIDE = (RUN_WORDS - PROBE_WORDS + 1) // 2  # the run goes on for so many words before or after the hashed ones
+THIN = 23  # words in which a hash that a text says again and again counts once
+NEAR = math.ceil(PART / SIMILARITY) + THIN  # so a shared place sees one in so many shingles on either side
+WINDOW_BYTES = 500_000  # text whose windows are found at once
 ASKERS = 2000  # spans asked of one copy of a text
 BLOCK = 256  # members of one block of a group; blocks are compared in pairs
-SEEDS = mix(np.arange(101, 101 + HASHES, dtype=np.uint64))
+CODE = 5  # bytes of a shingle's hash that are sent
 
 
 def compact_windows(hashes: np.ndarray, bounds: np.ndarray, least: int = LEAST):
@@ -62,268 +66,277 @@ def compact_windows(hashes: np.ndarray, bounds: np.ndarray, least: int = LEAST):
     return tuple(np.concatenate(column) for column in zip(*out))
 
 
-WINDOWS = "block long, h array<long>, id array<long>, l array<int>, c array<int>, r array<int>, d array<long>"
+PLACES = "id long, row long, h array<long>, c array<int>, before array<int>, after array<int>"
 
 
-def digests(shingles: np.ndarray, low: np.ndarray, high: np.ndarray, centre: np.ndarray) -> np.ndarray:
-    """A name of the shingles within NEAR of each centre, in texts that lie at [low, high) of ``shingles``."""
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(shingles))])
-    return (sums[np.minimum(centre + NEAR + 1, high)] - sums[np.maximum(centre - NEAR, low)]).view(np.int64)
+def thinned(text: np.ndarray, h: np.ndarray, centre: np.ndarray) -> np.ndarray:
+    """Which windows (in order) are kept: of neighbours with one hash in one text one in THIN words."""
+    new = np.concatenate([[True], (np.diff(text) != 0) | (h[1:] != h[:-1])])[: len(text)]
+    step = (centre - centre[new][np.cumsum(new) - 1]) // THIN
+    return new | np.concatenate([[True], np.diff(step) != 0])[: len(text)]
 
 
-def window_blocks(docs: DataFrame) -> DataFrame:
-    """The compact windows of all hash functions, one row for each block of documents: a block's number and, for
-    each window, its hash, document and bounds. Numbers hold for one run, so the rows are to be stored."""
+def window_rows(docs: DataFrame) -> DataFrame:
+    """The hash and the centre of the compact windows of each text (id, row, text), with names of the words before
+    and after: of a run that two texts share, one of them is shared as well."""
+    names = ["id", "row", "h", "c", "before", "after"]
 
     def make(batches):
-        block = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for part in slices(batch, 1, WINDOW_BYTES):
-                ids = part.column(0).to_numpy()
-                shingles, bounds = Words(part.column(1).to_pylist()).shingles()
-                found = []
-                for i, seed in enumerate(SEEDS):
-                    hashes = mix(shingles ^ seed)
-                    text, left, centre, right = compact_windows(hashes, bounds)
-                    own = hashes[bounds[text] + centre]
-                    h = ((own & ~np.uint64(HASHES - 1)) | np.uint64(i)).view(np.int64)
-                    d = digests(shingles, bounds[text], bounds[text + 1], bounds[text] + centre)
-                    found.append((h, ids[text], *(x.astype(np.int32) for x in (left, centre, right)), d))
-                columns = [np.concatenate(x) for x in zip(*found)]
-                if len(columns[0]):
-                    order = np.argsort(columns[1], kind="stable")
-                    whole = np.array([0, len(order)])
-                    lists = [int_list(x[order], whole, pa.from_numpy_dtype(x.dtype)) for x in columns]
-                    yield pa.RecordBatch.from_arrays([pa.array([block]), *lists], ["block", "h", "id", "l", "c", "r", "d"])
-                    block += 1
-
-    return docs.select("id", "text").mapInArrow(make, WINDOWS)
-
-
-SPANS = "array<struct<b_from:int,b_to:int,a_from:int,a_to:int>>"
+            for part in slices(batch, 2, WINDOW_BYTES):
+                hashes, bounds = Words(part.column(2).to_pylist()).shingles(PROBE_WORDS)
+                text, _, centre, _ = compact_windows(hashes, bounds, RUN)
+                order = np.lexsort((centre, text))
+                text, centre = text[order], centre[order]
+                kept = thinned(text, hashes[bounds[text] + centre], centre)
+                text, centre = text[kept], centre[kept]
+                edges = np.searchsorted(text, np.arange(part.num_rows + 1))
+                at = bounds[text] + centre
+                none = mix(part.column(0).to_numpy()[text].view(np.uint64))  # a text that ends there shares nothing
+                before = np.where(centre >= BESIDE, hashes[np.maximum(at - BESIDE, 0)], none)
+                after = np.where(at + BESIDE < bounds[text + 1], hashes[np.minimum(at + BESIDE, len(hashes) - 1)], none)
+                lists = [int_list(hashes[at].view(np.int64), edges)]
+                for values in (centre, before, after):
+                    low = (values.astype(np.uint64) & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
+                    lists.append(int_list(low, edges, pa.int32()))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *lists], names)
+
+    return docs.select("id", "row", "text").mapInArrow(make, PLACES).where("size(h) > 0")
+
+
+def encoded(shingles: np.ndarray) -> bytes:
+    return shingles.astype("<u8", copy=False).view(np.uint8).reshape(-1, 8)[:, :CODE].tobytes()
+
+
+def decoded(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // CODE, 8), np.uint8)
+    out[:, :CODE] = np.frombuffer(data, np.uint8).reshape(-1, CODE)
+    return out.view("<u8").ravel()
+
+
+PAIR = ["b", "b_row", "a", "a_row"]
+SPANS = "b long, b_row long, a long, a_row long, b_from array<int>, b_to array<int>, a_from array<int>, a_to array<int>"
+FOUND = "b long, b_row long, a long, a_row long, passages array<struct<`from`:int,`to`:int,similarity:double>>"
+PASSAGE = pa.struct([("from", pa.int32()), ("to", pa.int32()), ("similarity", pa.float64())])
+FOUND_KIND = pa.schema([*((n, pa.int64()) for n in PAIR), ("passages", pa.list_(PASSAGE))])
+
+
+def joined_spans(place: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Rows (b_from, b_to, a_from, a_to) in shingles: shared places of two texts, with what a passage may hold on
+    either side; places whose surroundings meet and are moved about alike are one span."""
+    order = np.lexsort((other, place))
+    place, shift = place[order], (other - place)[order]
+    reach = PART + THIN
+    cut = (np.diff(place) > 2 * reach) | (np.abs(np.diff(shift)) > reach)
+    first = np.flatnonzero(np.concatenate([[True], cut]))
+    last = np.concatenate([first[1:], [len(place)]]) - 1
+    low, high = place[first] - reach, place[last] + reach + PROBE_WORDS
+    slack = np.maximum(SHIFT, np.ceil(SPARE * (high - low))).astype(np.int64)
+    a_low = low + np.minimum.reduceat(shift, first) - slack
+    a_high = high + np.maximum.reduceat(shift, first) + slack
+    return np.stack([np.maximum(low, 0), high, np.maximum(a_low, 0), a_high], axis=1)
+
+
+def _join_places(batches):
+    """Candidate spans of pairs of texts from the places of their common windows."""
+    names = [n.split()[0] for n in SPANS.split(", ")]
+    for batch in batches:
+        places = batch.column(4)
+        edges = places.offsets.to_numpy() - places.offsets[0].as_py()
+        own, other = (x.to_numpy().astype(np.int64) for x in places.flatten().flatten())
+        found = [joined_spans(own[i:j], other[i:j]) for i, j in zip(edges, edges[1:])]
+        bounds = np.concatenate([[0], np.cumsum([len(x) for x in found])])
+        columns = np.concatenate(found).astype(np.int32).T if found else np.zeros((4, 0), np.int32)
+        yield pa.RecordBatch.from_arrays([*batch.columns[:4], *(int_list(x, bounds, pa.int32()) for x in columns)], names)
 
 
-def _runs(support: np.ndarray) -> list[tuple[int, int]]:
-    edges = np.flatnonzero(np.diff(support.astype(np.int8), prepend=0, append=0))
-    return [(int(a), int(b)) for a, b in zip(edges[::2], edges[1::2])]
+def hopeful(match: np.ndarray, place: int | None = None) -> np.ndarray:
+    """Which rows of ``match`` (shingles of a text that hold no repeats, found in each of several others) may hold a
+    passage (over ``place``): a part of LEAST shingles or more of which SIMILARITY are matched. Without one passages_of
+    finds nothing."""
+    if match.shape[1] < LEAST:
+        return np.zeros(len(match), bool)
+    over = np.zeros((len(match), match.shape[1] + 1), np.float32)
+    np.cumsum(match - np.float32(SIMILARITY), axis=1, out=over[:, 1:])
+    lowest = np.minimum.accumulate(over[:, : over.shape[1] - LEAST], axis=1)
+    stops = over[:, LEAST:]
+    if place is not None:  # a part begins at the place or before and stops after it
+        lowest[:, place + 1 :] = lowest[:, min(place, lowest.shape[1] - 1)][:, None]
+        begun = max(0, place + 1 - LEAST)
+        lowest, stops = lowest[:, begun:], stops[:, begun:]
+    return (stops - lowest).max(axis=1) > -1e-2
 
 
-def candidate_spans(anchor, at, left, centre, right, which) -> list[tuple[int, list[dict]]]:
-    """Interval join of one document's shared windows: where enough hash functions agree with one anchor.
+MEMBER = "id long, row long, h long, c int, class long, open boolean, asks boolean, a_blocks long, b_blocks long, near binary"
 
-    Where they only agree when anchors are taken together, every anchor there becomes a candidate. Spans are
-    in shingles of the document (b) and, moved along the windows' offsets, of its anchor (a).
-    """
-    length = int(right.max()) + 2
-
-    def support(rows: np.ndarray) -> np.ndarray:
-        total = np.zeros(length, dtype=np.int8)
-        for i in range(HASHES):
-            mine = rows[which[rows] == i]
-            if len(mine):
-                steps = np.bincount(left[mine], minlength=length) - np.bincount(right[mine] + 1, minlength=length)
-                total += np.cumsum(steps) > 0
-        return total
-
-    order = np.argsort(anchor, kind="stable")
-    parts = np.split(order, np.flatnonzero(np.diff(anchor[order])) + 1)
-    agreed = [support(rows) >= ENOUGH for rows in parts]
-    if ENOUGH > 1:
-        rest = (support(order) >= ENOUGH) & ~np.any(agreed, axis=0)
-        agreed = [own | (rest & (support(rows) > 0)) for own, rows in zip(agreed, parts)]
-    out = []
-    for own, rows in zip(agreed, parts):
-        spans = []
-        for b0, b1 in _runs(own):
-            mine = rows[(left[rows] < b1) & (right[rows] >= b0)]
-            shift = at[mine] - centre[mine]
-            b0, b1 = max(0, b0 - LEAST), b1 + LEAST  # a part of a passage past a window's end is shorter, or has its own
-            slack = max(SHIFT, math.ceil(SPARE * (b1 - b0)))
-            a0, a1 = max(0, b0 + int(shift.min()) - slack), b1 + int(shift.max()) + slack
-            spans.append({"b_from": b0, "b_to": b1, "a_from": a0, "a_to": a1})
-        if spans:
-            out.append((int(anchor[rows[0]]), spans))
-    return out
 
+def surroundings(plain: DataFrame, held: DataFrame) -> DataFrame:
+    """MEMBER: places of texts with the shingles within NEAR of each; ``held`` has them by text in ``own``."""
+    names = [k.split()[0] for k in MEMBER.split(", ")]
 
-def _walk_blocks(batches):
-    """Candidate spans of all documents of a block: each window takes the anchor of its hash, if there is one."""
-    kind = pa.list_(pa.struct([(n, pa.int32()) for n in ("b_from", "b_to", "a_from", "a_to")]))
-    for batch in batches:
-        for k in range(batch.num_rows):
-            h, ids, left, centre, right, _, known, anchor, place = (c[k].values.to_numpy() for c in batch.columns[1:])
-            order = np.argsort(known)
-            at = order[np.minimum(np.searchsorted(known, h, sorter=order), len(order) - 1)]
-            kept = np.flatnonzero((known[at] == h) & (anchor[at] != ids))
-            at, ids, which = at[kept], ids[kept], h[kept] & (HASHES - 1)
-            columns = [anchor[at], place[at], left[kept], centre[kept], right[kept], which]
-            out: tuple[list, list, list] = ([], [], [])
-            edges = [0, *(np.flatnonzero(np.diff(ids)) + 1).tolist(), len(ids)]
-            for i, j in zip(edges, edges[1:]):
-                if j > i:
-                    for a, spans in candidate_spans(*[c[i:j] for c in columns]):
-                        out[0].append(int(ids[i]))
-                        out[1].append(a)
-                        out[2].append(spans)
-            block = pa.array([batch.column(0)[k].as_py()] * len(out[0]), pa.int64())
-            arrays = [block, pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], kind)]
-            yield pa.RecordBatch.from_arrays(arrays, ["block", "b", "a", "spans"])
-
-
-def _unmatched(batches):
-    """Windows of groups whose minimum lies in no passage that the anchors gave, but the anchors themselves."""
-    names = ["h", "id", "l", "c", "r", "d"]
-    for batch in batches:
-        for k in range(batch.num_rows):
-            *own, known, anchor, place = (c[k].values.to_numpy() for c in batch.columns[1:10])
-            h, ids, _, centre, _, _ = own
-            order = np.argsort(known)
-            at = order[np.minimum(np.searchsorted(known, h, sorter=order), len(order) - 1)]
-            rest = (known[at] == h) & ~((anchor[at] == ids) & (place[at] == centre))
-            for p in batch.column(10)[k].as_py() or []:  # windows are in order of ids
-                i, j = np.searchsorted(ids, [p["id"], p["id"] + 1])
-                rest[i:j] &= (centre[i:j] < p["from"]) | (centre[i:j] >= p["to"])
-            yield pa.RecordBatch.from_arrays([pa.array(c[rest]) for c in own], names)
+    def make(batches):
+        for batch in batches:
+            for part in slices(batch, 2):
+                shingles, bounds = Words(part.column(2).to_pylist()).shingles()
+                rows = part.column(3)
+                text = np.repeat(np.arange(part.num_rows), np.diff(rows.offsets.to_numpy()))
+                own = rows.flatten()
+                get = dict(zip([f.name for f in own.type], own.flatten()))
+                low, high = bounds[text], bounds[text + 1]
+                centre = low + get["c"].to_numpy()
+                starts, stops = np.maximum(centre - NEAR, low), np.minimum(centre + NEAR + 1, high)
+                for i in range(0, len(text), 1000):
+                    near = [encoded(shingles[p:q]) for p, q in zip(starts[i : i + 1000], stops[i : i + 1000])]
+                    ids = [part.column(k).take(pa.array(text[i : i + 1000])) for k in (0, 1)]
+                    rest = [get[n].slice(i, 1000) for n in names[2:-1]]
+                    yield pa.RecordBatch.from_arrays([*ids, *rest, pa.array(near, pa.binary())], names)
 
+    return plain.join(held, ["id", "row"]).select("id", "row", "text", "own").mapInArrow(make, MEMBER)
 
-MEMBERS = "h long, id long, l int, c int, r int, d long"
-PAIRS = "b long, a long, l int, r int, shift int"
 
-
-def hopeful(match: np.ndarray) -> np.ndarray:
-    """Which rows of ``match`` (shingles of a text that hold no repeats, found in each of several others) may hold a
-    passage: a part of LEAST shingles or more of which SIMILARITY are matched. Without one passages_of finds nothing."""
-    if match.shape[1] < LEAST:
-        return np.zeros(len(match), bool)
-    over = np.zeros((len(match), match.shape[1] + 1), np.float32)
-    np.cumsum(match - np.float32(SIMILARITY), axis=1, out=over[:, 1:])
-    lowest = np.minimum.accumulate(over[:, : over.shape[1] - LEAST], axis=1)
-    return (over[:, LEAST:] - lowest).max(axis=1) > -1e-2
+def _root(parent: dict, node: int) -> int:
+    while (up := parent.get(node, node)) != node:
+        parent[node] = node = parent.get(up, up)
+    return node
 
 
 def _compare(batches):
-    """(b, a) pairs of two blocks of a group: each unmatched member and the first smaller one with a passage in common.
+    """FOUND rows of two blocks of a group: a later member is compared with the smaller ones of other classes, and
+    with all of them as long as its place lies in no passage. Classes that a passage links are one from then on.
 
-    Only members that share LEAST_SHARED shingles around their minimum, and enough of them close together, are
+    Only members that share LEAST_SHARED places around the common one, and enough of them close together, are
     compared exactly.
     """
     for batch in batches:
         out = []
         for k in range(batch.num_rows):
             rows = batch.column(0)[k].values
-            names = ("asks", "there", "id", "l", "c", "r")
-            asks, there, ids, left, centre, right = (rows.field(n).to_numpy(zero_copy_only=False) for n in names)
-            near = rows.field("near")
-            edges = near.offsets.to_numpy() - near.offsets[0].as_py()
-            values = near.flatten().to_numpy()
-            column = placed = np.unique(values, return_inverse=True)[1]
-            owner = np.repeat(np.arange(len(ids)), np.diff(edges))
-            one = np.unique(column * len(ids) + owner)
-            column, owner = one // len(ids), one % len(ids)
-            # Shingles of a single member, and members with few others, have no part in a pair.
-            enough = np.bincount(column)[column] > 1
-            column, owner = column[enough], owner[enough]
-            enough = np.bincount(owner, minlength=len(ids)) >= LEAST_SHARED
-            asks, there = asks & enough, there & enough
-            enough = enough[owner]
-            kept, column = np.unique(column[enough], return_inverse=True)
-            owner = owner[enough]
-            if not len(column):
-                continue
-            number = np.full(int(placed.max()) + 1, -1)
-            number[kept] = np.arange(len(kept))
-            placed = number[placed]  # the last column of ``has`` stands for shingles that no other member has
-            both = np.zeros((int(asks.sum()), int(there.sum())), np.float32)
-            sides = [(mine, np.cumsum(mine) - 1) for mine in (asks, there)]
-            for start in range(0, int(column[-1]) + 1, 4096):
-                i, j = np.searchsorted(column, [start, start + 4096])
-                parts = [np.zeros((n, min(4096, int(column[-1]) + 1 - start)), np.float32) for n in both.shape]
-                for (side, row), part in zip(sides, parts):
-                    mine = side[owner[i:j]]
-                    part[row[owner[i:j][mine]], column[i:j][mine] - start] = 1
-                both += parts[0] @ parts[1].T
+            get = {f.name: rows.field(f.name) for f in rows.type}
+            asks, there, is_open = (get[n].to_numpy(zero_copy_only=False) for n in ("asks", "there", "open"))
+            ids, text_row, classes, centre = (get[n].to_numpy() for n in ("id", "row", "class", "c"))
+            near = [decoded(x) for x in get["near"].to_pylist()]
             later, first = np.flatnonzero(asks), np.flatnonzero(there)
-            has = np.zeros((len(first), len(kept) + 1), bool)
-            mine = there[owner]
-            has[sides[1][1][owner[mine]], column[mine]] = True
-            for x, shared in zip(later, both):
-                rows_alike = np.flatnonzero((shared >= LEAST_SHARED) & (ids[first] < ids[x]))
-                own = values[edges[x] : edges[x + 1]]
-                if len(np.unique(own)) == len(own):
-                    rows_alike = rows_alike[hopeful(has[np.ix_(rows_alike, placed[edges[x] : edges[x + 1]])])]
-                alike = first[rows_alike]
-                for y in alike[np.argsort(ids[alike], kind="stable")]:
-                    if passages_of(values[edges[x] : edges[x + 1]], values[edges[y] : edges[y + 1]]):
-                        out.append((ids[x], ids[y], left[x], right[x], centre[y] - centre[x]))
-                        break
-        columns = zip(*out) if out else [[]] * 5
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
-        yield pa.RecordBatch.from_arrays([pa.array(np.array(c), k) for c, k in zip(columns, kinds)], ["b", "a", "l", "r", "shift"])
-
-
-def group_pairs(plain: DataFrame, windows: DataFrame, probes: DataFrame, tables: Tables) -> DataFrame:
-    """(b, a, l, r, shift): each probe (MEMBERS) and a member with a smaller id of its hash group that repeats in it.
-
-    Members with equal surroundings are one, named by the smallest id; the others are its copies. A probe is
-    compared with all members, in pairs of blocks of the group, so that no member is hidden by a smaller one.
+            wanted = ids[first][None, :] < ids[later][:, None]
+            wanted &= is_open[later][:, None] | (classes[first][None, :] != classes[later][:, None])
+            used, told = wanted.any(axis=1), wanted.any(axis=0)
+            later, first, wanted = later[used], first[told], wanted[np.ix_(used, told)]
+            if not len(later):
+                continue
+            seen = np.unique(np.concatenate([near[y] for y in first]))
+            columns = {x: np.minimum(np.searchsorted(seen, near[x]), len(seen) - 1) for x in {*later, *first}}
+            held = {x: seen[columns[x]] == near[x] for x in later}
+            used = np.array([np.count_nonzero(held[x]) >= LEAST_SHARED for x in later])
+            later, wanted = later[used], wanted[used]
+            if not len(later):
+                continue
+            asked = np.unique(np.concatenate([columns[x][held[x]] for x in later]))
+            number = np.full(len(seen), len(asked))  # the last column stands for shingles that the other side has not
+            number[asked] = np.arange(len(asked))
+            has = np.zeros((len(first), len(asked) + 1), bool)
+            for i, y in enumerate(first):
+                has[i, number[columns[y]]] = True
+            has[:, -1] = False
+            both = np.zeros(wanted.shape, np.float32)
+            counts = [np.bincount(number[columns[x][held[x]]], minlength=len(asked)).astype(np.float32) for x in later]
+            for start in range(0, len(asked), 4096):
+                part = has[:, start : min(start + 4096, len(asked))].astype(np.float32)
+                both += np.stack([x[start : start + 4096] for x in counts]) @ part.T
+            parent: dict[int, int] = {}
+            for i, x in enumerate(later):
+                alike = np.flatnonzero(wanted[i] & (both[i] >= LEAST_SHARED))
+                if not len(alike):
+                    continue
+                start = max(0, int(centre[x]) - NEAR)
+                if len(np.unique(near[x])) == len(near[x]):
+                    placed = np.where(held[x], number[columns[x]], len(asked))
+                    alike = alike[hopeful(has[np.ix_(alike, placed)], int(centre[x]) - start)]
+                explained = not is_open[x]
+                for y in first[alike[np.argsort(ids[first[alike]], kind="stable")]]:
+                    mine, other = _root(parent, int(classes[x])), _root(parent, int(classes[y]))
+                    if explained and mine == other:
+                        continue
+                    passages = [(start + p, start + q + SHINGLE_WORDS - 1, s) for p, q, s in passages_of(near[x], near[y])]
+                    # A passage elsewhere has common places of its own.
+                    passages = [(p, q, s) for p, q, s in passages if p <= centre[x] + THIN and q >= centre[x]]
+                    if passages:
+                        parent[max(mine, other)] = min(mine, other)
+                        explained |= any(p <= centre[x] and centre[x] + PROBE_WORDS <= q for p, q, _ in passages)
+                        kept = [{"from": p, "to": q, "similarity": s} for p, q, s in passages]
+                        out.append({"b": ids[x], "b_row": text_row[x], "a": ids[y], "a_row": text_row[y], "passages": kept})
+        yield pa.RecordBatch.from_pylist(out, FOUND_KIND)
+
+
+def group_passages(plain: DataFrame, shared: DataFrame, found: DataFrame, tables: Tables) -> DataFrame:
+    """FOUND rows of the places (id, row, h, c, before, after) that the passages ``found`` leave open: a place lies in no
+    passage yet, or places that share a run are in documents of several classes.
+
+    Such members are compared in pairs of blocks of their hash group. Those with equal surroundings are one, the one
+    of the smallest id; the others repeat it.
     """
-    each = windows.select(F.inline(F.arrays_zip("h", "id", "l", "c", "r", "d")))
-    each = each.join(probes.select("h").distinct(), "h")
-    named = tables.put(each.groupBy("h", "d").agg(F.min(F.struct("id", "c")).alias("least")))
-    asked = probes.join(named, ["h", "d"])
-    copies = asked.where("id > least.id").select(
-        F.col("id").alias("b"), F.col("least.id").alias("a"), "l", "r", (F.col("least.c") - F.col("c")).alias("shift")
+    classes = components(found.select(F.col("b").alias("a"), F.col("a").alias("b")), tables)
+    classes = tables.put(classes.select(F.col("node").alias("id"), F.col("component").alias("class")))
+    covered = found.groupBy(F.col("b").alias("id"), F.col("b_row").alias("row"))
+    covered = covered.agg(F.array_distinct(F.flatten(F.collect_list("passages"))).alias("covered"))
+    explained = F.exists("covered", lambda p: (p["from"] <= F.col("c")) & (p["to"] >= F.col("c") + PROBE_WORDS))
+    members = shared.join(covered, ["id", "row"], "left").withColumn("bare", ~F.coalesce(explained, F.lit(False)))
+    members = members.join(classes, "id", "left").withColumn("class", F.coalesce("class", "id"))
+    members = tables.put(members.select("id", "row", "h", "c", "before", "after", "bare", "class"))
+    tables.drop(shared, classes)
+    runs = []
+    for side in ("before", "after"):
+        run = members.groupBy("h", side).agg(
+            F.min("id").alias(f"{side}_least"),
+            F.max(F.when(F.col("bare"), F.col("id"))).alias("bare"),
+            (F.min("class") < F.max("class")).alias(f"{side}_mixed"),
+        )
+        run = run.where(F.col(f"{side}_mixed") | (F.col("bare") > F.col(f"{side}_least")))
+        runs.append(tables.put(run.drop("bare")))
+    left = members.join(runs[0], ["h", "before"], "left").join(runs[1], ["h", "after"], "left")
+    left = left.where("before_least IS NOT NULL OR after_least IS NOT NULL")
+    is_open = F.coalesce(F.col("bare") & (F.col("id") > F.least("before_least", "after_least")), F.lit(False))
+    left = left.withColumn("open", is_open)
+    mixed = F.coalesce("before_mixed", F.lit(False)) | F.coalesce("after_mixed", F.lit(False))
+    left = left.select("id", "row", "h", "c", "class", "open", (F.col("open") | mixed).alias("asks"))
+    left = tables.put(left)
+    tables.drop(members, *runs)
+    members = left
+    groups = members.groupBy("h").agg(F.count("*").alias("n"), F.count_if("asks").alias("u")).where("n > 1 AND u > 0")
+    blocks = [F.ceil(F.col(n) / BLOCK).alias(name) for n, name in (("n", "a_blocks"), ("u", "b_blocks"))]
+    groups = tables.put(groups.select("h", *blocks))
+    names = [k.split()[0] for k in MEMBER.split(", ")]
+    held = members.join(groups, "h")
+    held = held.groupBy("id", "row").agg(F.collect_set(F.struct(*names[2:-1])).alias("own"))
+    # Surroundings in which a whole passage fits make their texts alike; shorter ones are compared each for itself.
+    whole = F.octet_length("near") >= LEAST * CODE
+    name = F.when(whole, F.xxhash64("near")).otherwise(F.xxhash64("near", "id", "row", "c"))
+    cut = tables.put(surroundings(plain, held).withColumn("d", name))
+    tables.drop(members, groups)
+    least = tables.put(cut.groupBy("h", "d").agg(F.min(F.struct("id", "row", "c")).alias("least"), F.max("id").alias("last"), F.count("*").alias("n")))
+    many = least.where("n > 1").select("h", "d", "least")
+    low = F.greatest(F.lit(0), F.col("c") - NEAR)
+    span = F.struct(
+        low.alias("from"),
+        (low + F.octet_length("near") / CODE + (SHINGLE_WORDS - 1)).cast("int").alias("to"),
+        F.lit(1.0).alias("similarity"),
     )
-    firsts = asked.where("id = least.id AND c = least.c").select("h", "d", "l", "r", F.lit(True).alias("asks")).distinct()
-    members = named.select("h", "d", "least.id", "least.c").join(firsts, ["h", "d"], "left")
-    members = tables.put(members.withColumn("asks", F.coalesce("asks", F.lit(False))))
-    copies = tables.put(copies)
-    tables.drop(windows, probes, named)
-    sizes = members.groupBy("h").agg(F.count("*").alias("n"), F.count_if("asks").alias("u")).where("n > 1 AND u > 0")
-    held = members.join(sizes.select("h", (F.ceil(F.col("n") / BLOCK)).alias("ablocks"), (F.ceil(F.col("u") / BLOCK)).alias("bblocks")), "h")
-    held = held.groupBy("id").agg(F.collect_list(F.struct("h", "d", "l", "c", "r", "asks", "ablocks", "bblocks")).alias("own"))
-    kinds = "h long, d long, id long, l int, c int, r int, asks boolean, ablocks long, bblocks long, near array<int>"
-    names = [k.split()[0] for k in kinds.split(", ")]
-
-    def surroundings(batches):
-        for batch in batches:
-            for part in slices(batch, 1):
-                shingles, bounds = Words(part.column(1).to_pylist()).shingles()
-                rows = part.column(2)
-                lists = np.diff(rows.offsets.to_numpy())
-                own = rows.flatten()
-                get = dict(zip([f.name for f in own.type], own.flatten()))
-                text = np.repeat(np.arange(part.num_rows), lists)
-                low, high = bounds[text], bounds[text + 1]
-                centre = low + get["c"].to_numpy()
-                inside = centre < high  # rows of one id have texts of their own
-                same = np.zeros(len(text), bool)
-                same[inside] = (digests(shingles, low[inside], high[inside], centre[inside]) == get["d"].to_numpy()[inside])
-                kept = np.flatnonzero(same)
-                starts, stops = np.maximum(centre - NEAR, low)[kept], np.minimum(centre + NEAR + 1, high)[kept]
-                counts = stops - starts
-                edges = np.concatenate([[0], np.cumsum(counts)])
-                places = np.arange(edges[-1]) - np.repeat(edges[:-1] - starts, counts)
-                near = int_list((shingles[places] >> np.uint64(32)).astype(np.uint32).view(np.int32), edges, pa.int32())
-                get |= {"id": pa.array(part.column(0).to_numpy()[text])}
-                yield pa.RecordBatch.from_arrays([*(get[n].take(pa.array(kept)) for n in names[:-1]), near], names)
-
-    cut = tables.put(plain.join(held, "id").select("id", "text", "own").mapInArrow(surroundings, kinds))
+    copies = cut.join(many, ["h", "d"]).where("id > least.id").select(
+        F.col("id").alias("b"), F.col("row").alias("b_row"), F.col("least.id").alias("a"), F.col("least.row").alias("a_row"), F.array(span).alias("passages")
+    )
+    hidden = many.select("h", "d", F.col("least.id").alias("id"), F.col("least.row").alias("row"), F.col("least.c").alias("c"))
+    others = cut.join(many.select("h", "d"), ["h", "d"], "left_anti").unionByName(cut.join(hidden, ["h", "d", "id", "row", "c"]))
     place = lambda n: F.pmod(F.xxhash64("d"), F.col(n))
-    others = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    fields = ["id", "l", "c", "r", "near"]
-    tables.drop(members)
-    one, yes, no = F.col("ablocks") == 1, F.lit(True), F.lit(False)  # in a group of one block a member is sent once
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    fields = ["id", "row", "c", "class", "open", "near"]
+    one, yes, no = F.col("a_blocks") == 1, F.lit(True), F.lit(False)  # in a group of one block a member is sent once
     here = F.lit(0).cast("long")
-    alone = cut.where(one).select("h", here.alias("i"), here.alias("j"), "asks", yes.alias("there"), *fields)
-    later = cut.where(~one & F.col("asks")).select("h", place("bblocks").alias("i"), others("ablocks").alias("j"), yes.alias("asks"), no.alias("there"), *fields)
-    first = cut.where(~one).select("h", others("bblocks").alias("i"), place("ablocks").alias("j"), no.alias("asks"), yes.alias("there"), *fields)
+    alone = others.where(one).select("h", here.alias("i"), here.alias("j"), "asks", yes.alias("there"), *fields)
+    later = others.where(~one & F.col("asks")).select("h", place("b_blocks").alias("i"), each("a_blocks").alias("j"), yes.alias("asks"), no.alias("there"), *fields)
+    first = others.where(~one).select("h", each("b_blocks").alias("i"), place("a_blocks").alias("j"), no.alias("asks"), yes.alias("there"), *fields)
     grouped = alone.unionAll(later).unionAll(first).groupBy("h", "i", "j")
     grouped = grouped.agg(F.collect_list(F.struct("asks", "there", *fields)).alias("members")).where(
         F.exists("members", lambda m: m["asks"]) & (F.size("members") > 1)
     )
-    found = grouped.select("members").mapInArrow(_compare, PAIRS)
-    return copies.unionAll(found).distinct()
+    return copies.unionAll(grouped.select("members").mapInArrow(_compare, FOUND))
 
 
 def _alike_at_large(own: np.ndarray, a: np.ndarray) -> float:
@@ -378,141 +391,148 @@ def passages_of(b: np.ndarray, a: np.ndarray) -> list[tuple[int, int, float]]:
     return look(hits, int(SPARE * len(hits)))
 
 
-def cut_spans(words: Words, text: int, low: list[int], high: list[int]) -> list[str]:
-    """The words of one text that the shingles [low, high) of each span cover, as text."""
-    start, stop = words.bounds[text], words.bounds[text + 1]
-    cut = []
-    for a, b in zip(low, high):
-        p, q = start + a, min(stop, start + b + SHINGLE_WORDS - 1)
-        cut.append(words.data[words.start[p] : words.end[q - 1]].decode("utf-8", "surrogatepass") if p < q else "")
-    return cut
-
-
-def shingles_of(texts: list[str]) -> Iterator[np.ndarray]:
-    """Shingle hashes of each text in turn, computed for about BLOCK_BYTES of text at once."""
-    held: list[str] = []
-    size = 0
-    for i, text in enumerate(texts):
-        held.append(text)
-        size += len(text)
-        if size > BLOCK_BYTES or i + 1 == len(texts):
-            shingles, bounds = Words(held).shingles()
-            for a, b in zip(bounds, bounds[1:]):
-                yield shingles[a:b]
-            held, size = [], 0
+def named_texts(docs: DataFrame, tables: Tables, text: str) -> DataFrame:
+    """(id, row, text) of documents with an id; ``row`` tells unlike texts of one id apart."""
+    plain = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("id"), F.coalesce(f"`{text}`", F.lit("")).alias("text"))
+    many = tables.put(plain.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id"))
+    nothing = F.lit(0).cast("long")
+    if many.isEmpty():
+        return plain.select("id", nothing.alias("row"), "text")
+    known = plain.join(many.withColumn("many", F.lit(True)), "id", "left")
+    return known.select("id", F.when(F.col("many"), F.xxhash64("text")).otherwise(nothing).alias("row"), "text")
+
+
+def joined_passages(passages: list[dict]) -> list[dict]:
+    """Passages of one pair of texts in their order; those that overlap are one, as alike as the longest of them."""
+    out: list[dict] = []
+    longest = 0
+    for p in sorted(passages, key=lambda p: (p["from"], p["to"], p["similarity"])):
+        size = p["to"] - p["from"]
+        if out and p["from"] < out[-1]["to"]:
+            if size > longest:
+                out[-1]["similarity"], longest = p["similarity"], size
+            out[-1]["to"] = max(out[-1]["to"], p["to"])
+        else:
+            out.append(dict(p))
+            longest = size
+    return out
 
 
 def repeated_passages(docs: DataFrame, tables: Tables, text: str = "text") -> DataFrame:
     """(doc_id, source_id, passages): passages of 50 words or more that repeat one of a document with a smaller id.
 
-    ``passages`` holds struct<from,to,similarity> with word places. Tokens are five-word shingles, so common
-    words make no large groups. Windows with one min-hash are compared with the first document that has it (an
-    anchor); blocks of documents ask for the anchors of their hashes. Spans on which enough hash functions
-    agree are cut from both texts and compared exactly. Windows that no passage found there explains are then
-    compared with all others of their hash (see group_pairs), so an anchor without the passage hides none. Texts without words (NULL, empty)
-    and texts under 50 words have none. Rows with one doc_id count as one document; rows without an id have no
-    passages.
+    ``passages`` holds struct<from,to,similarity> with word places. A passage holds a run of RUN_WORDS words that the
+    other text has too, so both have one compact window of that run with one min-hash. Windows are compared with the
+    first document that has their hash (an anchor): the spans around them are cut from both texts and compared
+    exactly. Hash groups with a place that lies in no passage then, or with documents that no chain of passages links,
+    are compared member by member (see group_passages). So each word that repeats a smaller id is in a passage, and
+    chains of rows link all documents that repeat each other; a document whose passages and links are known
+    already is not listed again with all others that have the same. Texts without words (NULL, empty) and texts
+    under 50 words have none. Rows with one doc_id count as one document; rows without an id have no passages.
     """
-    plain = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("id"), F.coalesce(f"`{text}`", F.lit("")).alias("text"))
     before = set(tables.live)
-    windows = tables.put(window_blocks(plain))
-    each = windows.select(F.inline(F.arrays_zip("h", "id", "c")))
-    anchors = each.groupBy("h").agg(F.min(F.struct("id", "c")).alias("first"), F.max("id").alias("last"))
-    anchors = anchors.where("first.id < last").select("h", F.col("first.id").alias("a"), F.col("first.c").alias("ac"))
-    anchors = tables.put(anchors)
-    # A block asks once for each of its hashes, however many of its documents have it. Anchors are stored, so
-    # that both sides of the join are shuffled and Spark can split the partitions of hot hashes.
-    asked = windows.select("block", F.explode(F.array_distinct("h")).alias("h"))
-    hits = asked.join(anchors, "h").groupBy("block").agg(F.collect_list(F.struct("h", "a", "ac")).alias("hits"))
-    shared = windows.join(hits, "block").select(*windows.columns, "hits.h", "hits.a", "hits.ac")
-    shared = shared.toDF(*windows.columns, "known", "anchor", "place")
-    spans = tables.put(shared.mapInArrow(_walk_blocks, f"block long, b long, a long, spans {SPANS}"))
-    found = tables.put(checked_spans(plain, spans, tables))
-    tables.keep_since(before, windows, anchors, found)
-    covered = found.select("block", F.col("doc_id").alias("id"), F.inline("passages")).groupBy("block")
-    covered = covered.agg(F.collect_set(F.struct("id", "from", "to")).alias("covered"))
-    probes = tables.put(shared.join(covered, "block", "left").mapInArrow(_unmatched, MEMBERS))
-    tables.keep_since(before, windows, probes, found)
-    pairs = group_pairs(plain, windows, probes, tables)
-    pairs = pairs.select("b", "a", F.greatest(F.lit(0), F.col("l") - LEAST).alias("l"), (F.col("r") + LEAST).alias("r"), "shift")
-    slack = F.greatest(F.lit(SHIFT), F.ceil((F.col("r") - F.col("l") + 1) * SPARE).cast("int"))
-    span = F.struct(
-        F.col("l").alias("b_from"),
-        (F.col("r") + 1).alias("b_to"),
-        F.greatest(F.lit(0), F.col("l") + F.col("shift") - slack).alias("a_from"),
-        (F.col("r") + 1 + F.col("shift") + slack).alias("a_to"),
+    plain = named_texts(docs, tables, text)
+    named = set(tables.live)
+    windows = tables.put(window_rows(plain))
+    each = windows.select("id", "row", F.inline(F.arrays_zip("h", "c", "before", "after")))
+    anchors = each.groupBy("h").agg(F.min(F.struct("id", "row", "c")).alias("anchor"), F.max("id").alias("last"))
+    anchors = tables.put(anchors.where("anchor.id < last").select("h", "anchor"))
+    shared = tables.put(each.join(anchors, "h").select("id", "row", "h", "c", "before", "after", "anchor"))
+    tables.drop(windows, anchors)
+    places = shared.where("id > anchor.id").groupBy(
+        F.col("id").alias("b"), F.col("row").alias("b_row"), F.col("anchor.id").alias("a"), F.col("anchor.row").alias("a_row")
     )
-    pairs = pairs.groupBy("b", "a").agg(F.collect_set(span).alias("spans"))
-    pairs = tables.put(pairs.select(F.lit(-1).cast("long").alias("block"), "b", "a", "spans"))
-    tables.keep_since(before, pairs, found)
-    both = found.unionAll(checked_spans(plain, pairs, tables)).groupBy("doc_id", "source_id")
-    both = tables.put(both.agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("passages")))).alias("passages")))
+    places = places.agg(F.collect_list(F.struct("c", F.col("anchor.c").alias("other"))).alias("places"))
+    spans = tables.put(places.mapInArrow(_join_places, SPANS))
+    found = tables.put(checked_spans(plain, spans, tables))
+    tables.keep_since(named, shared, found)
+    rest = tables.put(group_passages(plain, shared, found, tables))
+    tables.keep_since(named, found, rest)
+    both = found.unionAll(rest).groupBy(F.col("b").alias("doc_id"), F.col("a").alias("source_id"))
+    both = both.agg(F.array_distinct(F.flatten(F.collect_list("passages"))).alias("passages"))
+
+    def join(batches):
+        for batch in batches:
+            lists = pa.array([joined_passages(p) for p in batch.column(2).to_pylist()], pa.list_(PASSAGE))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], lists], names)
+
+    names = ["doc_id", "source_id", "passages"]
+    both = tables.put(both.mapInArrow(join, both.schema))
     tables.keep_since(before, both)
-    return both
+    told = tables.put(needed_links(both))
+    tables.keep_since(before, told)
+    return told
+
+
+def needed_links(found: DataFrame) -> DataFrame:
+    """``found`` without the links that say nothing new: what repeats the source repeats the document's smallest source
+    in the same passages, and these two are linked themselves."""
+    least = found.groupBy("doc_id").agg(F.min("source_id").alias("s"), F.min_by("passages", "source_id").alias("there"))
+    links = found.select(F.col("doc_id").alias("source_id"), F.col("source_id").alias("s"), F.lit(True).alias("linked"))
+    within = F.forall("passages", lambda p: F.exists("there", lambda q: (q["from"] <= p["from"]) & (q["to"] >= p["to"])))
+    both = found.join(least, "doc_id").join(links, ["source_id", "s"], "left")
+    return both.where(F.col("linked").isNull() | ~within).select("doc_id", "source_id", "passages")
 
 
 def checked_spans(plain: DataFrame, spans: DataFrame, tables: Tables) -> DataFrame:
-    """(block, doc_id, source_id, passages) that exact comparison finds in the stored candidate spans (block, b, a, spans).
+    """FOUND rows that exact comparison finds in the stored candidate spans (SPANS).
 
     A text is sent once with all spans asked of it, or once for each ASKERS of them where there are more.
     """
-    later = spans.select(F.col("b").alias("id"), "b", "a", "block", F.lit(True).alias("later"), F.col("spans.b_from").alias("low"), F.col("spans.b_to").alias("high"))
-    first = spans.select(F.col("a").alias("id"), "b", "a", "block", F.lit(False).alias("later"), F.col("spans.a_from").alias("low"), F.col("spans.a_to").alias("high"))
-    asked = later.unionAll(first)
-    many = asked.groupBy("id").agg(F.ceil(F.count("*") / ASKERS).alias("sheets")).where("sheets > 1")
-    sheet = F.pmod(F.xxhash64("b", "a", "block"), F.coalesce("sheets", F.lit(1)))
-    asked = asked.join(tables.put(many), "id", "left").withColumn("sheet", sheet)
-    asked = asked.groupBy("id", "sheet").agg(F.collect_list(F.struct("b", "a", "block", "later", "low", "high")).alias("asked"))
-    found = plain.join(asked, "id").select("text", "asked")
+
+    def side(of: str, later: bool) -> DataFrame:
+        own = [F.col(of).alias("id"), F.col(f"{of}_row").alias("row")]
+        return spans.select(*own, *PAIR, F.lit(later).alias("later"), F.col(f"{of}_from").alias("low"), F.col(f"{of}_to").alias("high"))
+
+    asked = side("b", True).unionAll(side("a", False))
+    many = asked.groupBy("id", "row").agg(F.ceil(F.count("*") / ASKERS).alias("sheets")).where("sheets > 1")
+    sheet = F.pmod(F.xxhash64(*PAIR), F.coalesce("sheets", F.lit(1)))
+    asked = asked.join(tables.put(many), ["id", "row"], "left").withColumn("sheet", sheet)
+    asked = asked.groupBy("id", "row", "sheet").agg(F.collect_list(F.struct(*PAIR, "later", "low", "high")).alias("asked"))
+    found = plain.join(asked, ["id", "row"]).select("text", "asked")
+    kind = ", ".join([*(f"{n} long" for n in PAIR), "later boolean", "starts array<int>", "pieces array<binary>"])
 
     def cut(batches):
-        names = ["b", "a", "later", "block", "starts", "pieces"]
+        names = [*PAIR, "later", "starts", "pieces"]
         for batch in batches:
             for part in slices(batch, 0):
-                words = Words(part.column(0).to_pylist())
+                shingles, bounds = Words(part.column(0).to_pylist()).shingles()
                 rows = part.column(1)
                 text = np.repeat(np.arange(part.num_rows), np.diff(rows.offsets.to_numpy()))
                 own = rows.flatten()
                 get = dict(zip([f.name for f in own.type], own.flatten()))
                 low, high = get["low"].to_pylist(), get["high"].to_pylist()
                 held, size, begun = [], 0, 0
-                for i, (t, p, q) in enumerate(zip(text.tolist(), low, high)):
-                    held.append(cut_spans(words, t, p, q))
+                for i, (t, starts, stops) in enumerate(zip(text.tolist(), low, high)):
+                    p, q = bounds[t], bounds[t + 1]
+                    held.append([encoded(shingles[min(p + x, q) : min(p + y, q)]) for x, y in zip(starts, stops)])
                     size += sum(map(len, held[-1]))
-                    if size > BLOCK_BYTES or i + 1 == len(low):
-                        here = [get[n].slice(begun, i + 1 - begun) for n in ("b", "a", "later", "block", "low")]
-                        yield pa.RecordBatch.from_arrays([*here, pa.array(held, pa.list_(pa.string()))], names)
+                    if size > 2_000_000 or i + 1 == len(low):
+                        here = [get[n].slice(begun, i + 1 - begun) for n in (*PAIR, "later", "low")]
+                        yield pa.RecordBatch.from_arrays([*here, pa.array(held, pa.list_(pa.binary()))], names)
                         held, size, begun = [], 0, i + 1
 
-    pieces = tables.put(
-        found.mapInArrow(cut, "b long, a long, later boolean, block long, starts array<int>, pieces array<string>")
-    )
-    keys = ["b", "a", "block"]  # rows of one id in several blocks have spans of their own
-    later = pieces.where("later").select(*keys, "starts", F.col("pieces").alias("own"))
-    first = pieces.where("not later").select(*keys, F.col("pieces").alias("there"))
-    pairs = later.join(first, keys).select("block", "b", "a", "starts", "own", "there")
+    pieces = found.mapInArrow(cut, kind).groupBy(*PAIR)
+    pairs = pieces.agg(F.collect_list(F.struct("later", "starts", "pieces")).alias("sides"))
 
     def check(batches):
         for batch in batches:
             rows = []
-            columns = [c.to_pylist() for c in batch.columns]
-            texts = [t for own, there in zip(columns[4], columns[5]) for pair in zip(own, there) for t in pair]
-            sets = shingles_of(texts)
-            for block, b, a, starts, _, _ in zip(*columns):
+            sides = batch.column(4)
+            for k in range(batch.num_rows):
+                both = {}
+                for one in sides[k].as_py():  # equal rows of one id are sent more than once
+                    both[one["later"]] = one
                 passages = []
-                for start in starts:
-                    x, y = next(sets), next(sets)
-                    for p, q, alike in passages_of(x, y):
-                        passages.append({"from": start + p, "to": start + q + SHINGLE_WORDS - 1, "similarity": alike})
+                if len(both) == 2:
+                    for start, x, y in zip(both[True]["starts"], both[True]["pieces"], both[False]["pieces"]):
+                        for p, q, alike in passages_of(decoded(x), decoded(y)):
+                            passages.append({"from": start + p, "to": start + q + SHINGLE_WORDS - 1, "similarity": alike})
                 if passages:
-                    rows.append({"block": block, "doc_id": b, "source_id": a, "passages": passages})
-            yield pa.RecordBatch.from_pylist(rows, kind)
+                    rows.append({**{n: batch.column(i)[k].as_py() for i, n in enumerate(PAIR)}, "passages": passages})
+            yield pa.RecordBatch.from_pylist(rows, FOUND_KIND)
 
-    passage = pa.struct([("from", pa.int32()), ("to", pa.int32()), ("similarity", pa.float64())])
-    kind = pa.schema([("block", pa.int64()), ("doc_id", pa.int64()), ("source_id", pa.int64()), ("passages", pa.list_(passage))])
-    return pairs.mapInArrow(
-        check, "block long, doc_id long, source_id long, passages array<struct<`from`:int,`to`:int,similarity:double>>"
-    )
+    return pairs.mapInArrow(check, FOUND)
 
 
 def passage_classes(docs: DataFrame, tables: Tables, text: str = "text") -> DataFrame:
