@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 import numpy as np
@@ -167,12 +168,16 @@ def hopeful(match: np.ndarray, place: int | None = None) -> np.ndarray:
     return (stops - lowest).max(axis=1) > -1e-2
 
 
-MEMBER = "id long, row long, h long, c int, class long, open boolean, asks boolean, a_blocks long, b_blocks long, near binary"
+LIGHT = "id long, row long, h long, c int, class long, open boolean, asks boolean, d long, size int"
+MEMBER = "id long, row long, h long, c int, class long, open boolean, asks boolean, d long, a_blocks long, b_blocks long, near binary"
 
 
-def surroundings(plain: DataFrame, held: DataFrame) -> DataFrame:
-    """MEMBER: places of texts with the shingles within NEAR of each; ``held`` has them by text in ``own``."""
-    names = [k.split()[0] for k in MEMBER.split(", ")]
+def surroundings(plain: DataFrame, members: DataFrame, kinds: str) -> DataFrame:
+    """Places of texts with the shingles within NEAR of each (``kinds`` is MEMBER), or only with their name and number
+    (LIGHT): few of them are ever compared."""
+    names = [k.split()[0] for k in kinds.split(", ")]
+    given = [n for n in names[2:] if n in members.columns]
+    held = members.groupBy("id", "row").agg(F.collect_set(F.struct(*given)).alias("own"))
 
     def make(batches):
         for batch in batches:
@@ -188,10 +193,14 @@ def surroundings(plain: DataFrame, held: DataFrame) -> DataFrame:
                 for i in range(0, len(text), 1000):
                     near = [encoded(shingles[p:q]) for p, q in zip(starts[i : i + 1000], stops[i : i + 1000])]
                     ids = [part.column(k).take(pa.array(text[i : i + 1000])) for k in (0, 1)]
-                    rest = [get[n].slice(i, 1000) for n in names[2:-1]]
-                    yield pa.RecordBatch.from_arrays([*ids, *rest, pa.array(near, pa.binary())], names)
+                    if names[-1] == "near":
+                        made = [pa.array(near, pa.binary())]
+                    else:
+                        d = [int.from_bytes(hashlib.blake2b(x, digest_size=8).digest(), "little", signed=True) for x in near]
+                        made = [pa.array(d, pa.int64()), pa.array([len(x) // CODE for x in near], pa.int32())]
+                    yield pa.RecordBatch.from_arrays([*ids, *(get[n].slice(i, 1000) for n in given), *made], names)
 
-    return plain.join(held, ["id", "row"]).select("id", "row", "text", "own").mapInArrow(make, MEMBER)
+    return plain.join(held, ["id", "row"]).select("id", "row", "text", "own").mapInArrow(make, kinds)
 
 
 def _root(parent: dict, node: int) -> int:
@@ -301,29 +310,27 @@ def group_passages(plain: DataFrame, shared: DataFrame, found: DataFrame, tables
     tables.drop(members, *runs)
     members = left
     groups = members.groupBy("h").agg(F.count("*").alias("n"), F.count_if("asks").alias("u")).where("n > 1 AND u > 0")
-    blocks = [F.ceil(F.col(n) / BLOCK).alias(name) for n, name in (("n", "a_blocks"), ("u", "b_blocks"))]
-    groups = tables.put(groups.select("h", *blocks))
-    names = [k.split()[0] for k in MEMBER.split(", ")]
-    held = members.join(groups, "h")
-    held = held.groupBy("id", "row").agg(F.collect_set(F.struct(*names[2:-1])).alias("own"))
+    cut = surroundings(plain, members.join(groups.select("h"), "h"), LIGHT)
     # Surroundings in which a whole passage fits make their texts alike; shorter ones are compared each for itself.
-    whole = F.octet_length("near") >= LEAST * CODE
-    name = F.when(whole, F.xxhash64("near")).otherwise(F.xxhash64("near", "id", "row", "c"))
-    cut = tables.put(surroundings(plain, held).withColumn("d", name))
-    tables.drop(members, groups)
-    least = tables.put(cut.groupBy("h", "d").agg(F.min(F.struct("id", "row", "c")).alias("least"), F.max("id").alias("last"), F.count("*").alias("n")))
-    many = least.where("n > 1").select("h", "d", "least")
+    cut = tables.put(cut.withColumn("d", F.when(F.col("size") >= LEAST, F.col("d")).otherwise(F.xxhash64("d", "id", "row", "c"))))
+    tables.drop(members)
+    least = cut.groupBy("h", "d").agg(F.min(F.struct("id", "row", "c", "class", "open", "asks")).alias("least"), F.count("*").alias("n"))
+    least = tables.put(least)
     low = F.greatest(F.lit(0), F.col("c") - NEAR)
     span = F.struct(
         low.alias("from"),
-        (low + F.octet_length("near") / CODE + (SHINGLE_WORDS - 1)).cast("int").alias("to"),
+        (low + F.col("size") + (SHINGLE_WORDS - 1)).cast("int").alias("to"),
         F.lit(1.0).alias("similarity"),
     )
-    copies = cut.join(many, ["h", "d"]).where("id > least.id").select(
+    copies = cut.join(least.where("n > 1").select("h", "d", "least"), ["h", "d"]).where("id > least.id").select(
         F.col("id").alias("b"), F.col("row").alias("b_row"), F.col("least.id").alias("a"), F.col("least.row").alias("a_row"), F.array(span).alias("passages")
     )
-    hidden = many.select("h", "d", F.col("least.id").alias("id"), F.col("least.row").alias("row"), F.col("least.c").alias("c"))
-    others = cut.join(many.select("h", "d"), ["h", "d"], "left_anti").unionByName(cut.join(hidden, ["h", "d", "id", "row", "c"]))
+    copies = tables.put(copies.distinct())
+    groups = least.groupBy("h").agg(F.count("*").alias("n"), F.count_if("least.asks").alias("u")).where("n > 1 AND u > 0")
+    blocks = [F.ceil(F.col(n) / BLOCK).alias(name) for n, name in (("n", "a_blocks"), ("u", "b_blocks"))]
+    others = least.select("h", "d", "least.*").join(groups.select("h", *blocks), "h")
+    others = tables.put(surroundings(plain, others, MEMBER))
+    tables.drop(cut, least)
     place = lambda n: F.pmod(F.xxhash64("d"), F.col(n))
     each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     fields = ["id", "row", "c", "class", "open", "near"]
