@@ -209,6 +209,12 @@ def _root(parent: dict, node: int) -> int:
     return node
 
 
+def _single(known: dict, member: int, near: list) -> bool:
+    if member not in known:
+        known[member] = len(np.unique(near[member])) == len(near[member])
+    return known[member]
+
+
 def _compare(batches):
     """FOUND rows of two blocks of a group: a later member is compared with the smaller ones of other classes, and
     with all of them as long as its place lies in no passage. Classes that a passage links are one from then on.
@@ -251,12 +257,14 @@ def _compare(batches):
                 part = has[:, start : min(start + 4096, len(asked))].astype(np.float32)
                 both += np.stack([x[start : start + 4096] for x in counts]) @ part.T
             parent: dict[int, int] = {}
+            single: dict[int, bool] = {}  # members in which no shingle comes twice
+            there = np.full(len(seen), -1)  # places of shingles in the member compared with
             for i, x in enumerate(later):
                 alike = np.flatnonzero(wanted[i] & (both[i] >= LEAST_SHARED))
                 if not len(alike):
                     continue
                 start = max(0, int(centre[x]) - NEAR)
-                if len(np.unique(near[x])) == len(near[x]):
+                if _single(single, x, near):
                     placed = np.where(held[x], number[columns[x]], len(asked))
                     alike = alike[hopeful(has[np.ix_(alike, placed)], int(centre[x]) - start)]
                 explained = not is_open[x]
@@ -264,7 +272,15 @@ def _compare(batches):
                     mine, other = _root(parent, int(classes[x])), _root(parent, int(classes[y]))
                     if explained and mine == other:
                         continue
-                    passages = [(start + p, start + q + SHINGLE_WORDS - 1, s) for p, q, s in passages_of(near[x], near[y])]
+                    if _single(single, x, near) and _single(single, y, near):
+                        there[columns[y]] = np.arange(len(near[y]))
+                        place = np.where(held[x], there[columns[x]], -1)
+                        there[columns[y]] = -1
+                        hits = np.flatnonzero(place >= 0)
+                        passages = single_passages(hits, place[hits])
+                    else:
+                        passages = passages_of(near[x], near[y])
+                    passages = [(start + p, start + q + SHINGLE_WORDS - 1, s) for p, q, s in passages]
                     # A passage elsewhere has common places of its own.
                     passages = [(p, q, s) for p, q, s in passages if p <= centre[x] + THIN and q >= centre[x]]
                     if passages:
@@ -354,6 +370,46 @@ def _alike_at_large(own: np.ndarray, a: np.ndarray) -> float:
     return both / max(1, len(own) + len(there) - both)
 
 
+def single_passages(hits: np.ndarray, place: np.ndarray) -> list[tuple[int, int, float]]:
+    """passages_of two texts in which no shingle comes twice: ``hits`` are the places of the common ones in the first
+    text, ``place`` in the second. Sets of shingles are then as large as their stretches are long."""
+    if len(hits) < LEAST_SHARED:
+        return []
+    if (place[1:] > place[:-1]).all():  # a passage is a run of hits, which outweighs what both texts hold between them
+        over = (1 + SIMILARITY) * np.arange(len(hits)) - SIMILARITY * (hits + place)
+        lowest = np.minimum.accumulate(over[: len(over) - LEAST_SHARED + 1])
+        if (over[LEAST_SHARED - 1 :] - lowest).max() < SIMILARITY - 1 - 1e-6:
+            return []
+    steps, shift, out = np.diff(hits) - 1, place - hits, []
+    left = [(0, len(hits), int(SPARE * len(hits)))]
+    while left:
+        i, j, gap = left.pop()
+        own = int(hits[j - 1]) + 1 - int(hits[i])
+        if j - i < SIMILARITY * LEAST or own < LEAST:
+            continue
+        cuts = (np.flatnonzero(steps[i : j - 1] > gap) + (i + 1)).tolist()
+        if cuts:
+            left.extend((x, y, gap) for x, y in zip([i, *cuts], [*cuts, j]))
+            continue
+        if j - i >= SIMILARITY * own:
+            there, moved = place[i:j], shift[i:j]
+            low, high, most = int(there.min()), int(there.max()), max(SHIFT, SPARE * own)
+            alike = (j - i) / (own + high + 1 - low - (j - i))
+            if int(moved.max()) - int(moved.min()) > most:  # else all are near, and this is their likeness
+                near = there[np.abs(moved - np.median(moved)) <= most]
+                if len(near):
+                    low, high = int(near.min()), int(near.max())
+                    both = np.count_nonzero((there >= low) & (there <= high))
+                    alike = max(alike, len(near) / (own + high + 1 - low - both))
+            if alike >= SIMILARITY:
+                out.append((int(hits[i]), int(hits[i]) + own, float(alike)))
+                continue
+        widest = int(steps[i : j - 1].max())
+        if widest:
+            left.append((i, j, min(widest - 1, gap * 3 // 4)))
+    return sorted(out)
+
+
 def passages_of(b: np.ndarray, a: np.ndarray) -> list[tuple[int, int, float]]:
     """(from, to, similarity) of the parts of shingles ``b`` that repeat in shingles ``a``, checked exactly.
 
@@ -365,8 +421,10 @@ def passages_of(b: np.ndarray, a: np.ndarray) -> list[tuple[int, int, float]]:
     at = np.minimum(np.searchsorted(values, b), len(values) - 1)
     match, place = values[at] == b, first[at]
     order = np.argsort(b, kind="stable")
-    before = np.full(len(b), -1)  # where a shingle stood before; in [p, q) as many differ as stood before p
     again = b[order[1:]] == b[order[:-1]]
+    if len(values) == len(a) and not again.any():
+        return single_passages(np.flatnonzero(match), place[match])
+    before = np.full(len(b), -1)  # where a shingle stood before; in [p, q) as many differ as stood before p
     before[order[1:][again]] = order[:-1][again]
 
     def look(hits: np.ndarray, gap: int) -> list[tuple[int, int, float]]:
