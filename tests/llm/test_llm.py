@@ -671,3 +671,83 @@ def test_texts_without_repeats_are_compared_alike():
         assert single == passages.passages_of(b, a) == general
         kinds.add((k % 3, len(single)))
     assert {(0, 0), (0, 1), (0, 2), (1, 0), (1, 1), (1, 2), (2, 0), (2, 1)} <= kinds
+
+
+def test_no_passage_over_a_place_is_passed_over():
+    chance = np.random.default_rng(17)
+    said = Counter()
+    for k in range(3000):
+        n = int(chance.integers(40, 277))
+        b = chance.permutation(1000)[:n].astype(np.int32)
+        if k % 4 == 3:  # lines repeat
+            b = b[np.sort(chance.integers(0, max(2, n // 8), n))]
+        a = b.copy()
+        for place in chance.integers(0, n, int(chance.integers(0, 2 + n // 14))):
+            a[place : place + 5] = 5000 + place
+        if k % 3 == 0:
+            a = np.roll(a, int(chance.integers(0, 60)))
+        elif k % 3 == 1:
+            a = np.delete(a, slice(*np.sort(chance.integers(0, n, 2))))
+        at = int(chance.integers(0, n))
+        over = any(p <= at + passages.THIN and q + 4 >= at for p, q, _ in passages.passages_of(b, a))
+        values, first = np.unique(a, return_index=True)
+        number = np.minimum(np.searchsorted(values, b), max(0, len(values) - 1))
+        there = np.where(values[number] == b, first[number], -1)[None, :] if len(a) else np.full((1, n), -1)
+        kept = bool(passages.close_over(there >= 0, np.array([at]))[0])
+        if len(values) == len(a) and len(np.unique(b)) == n:
+            kept &= bool(passages.alike_over(there, np.array([at]))[0])
+        assert kept or not over
+        said[kept, over, k % 4 == 3] += 1
+    assert min(said[True, True, False], said[False, False, False], said[True, True, True]) > 100
+
+
+def test_members_of_a_group_are_placed_and_counted_together():
+    chance = np.random.default_rng(23)
+    texts = [chance.integers(0, 60, int(chance.integers(1, 50))).astype(np.uint64) for _ in range(12)]
+    group = np.repeat([0, 1, 2], [5, 3, 4])
+    text = np.repeat(np.arange(12), [len(x) for x in texts])
+    spot = np.concatenate([np.arange(len(x)) for x in texts])
+    table, first, column, single = passages._places(np.concatenate(texts), text, spot, group)
+    assert single.tolist() == [len(np.unique(x)) == len(x) for x in texts]
+    for x in range(12):
+        own = column[text == x]
+        for y in np.flatnonzero((group == group[x]) & (np.arange(12) != x)):
+            found = np.where(own >= 0, table[first[y] + own], -1).tolist()
+            assert found == [int(np.flatnonzero(texts[y] == s)[0]) if s in texts[y] else -1 for s in texts[x]]
+    here = text < 5
+    asks, there = np.array([True, False, True, True, True]), np.array([True, True, False, True, True])
+    both = passages._common(text[here & (column >= 0)], column[here & (column >= 0)], asks, there)
+    for x, y in zip(*np.nonzero(asks[:, None] & there)):
+        assert x == y or both[x, y] == np.isin(texts[x], texts[y]).sum()
+
+
+def test_blocks_of_near_copies_do_not_all_meet(spark, monkeypatch):
+    compare, block = passages._compare, 16
+    base = words(150, 160_000)
+
+    def sent(n):
+        chance = np.random.default_rng(29)
+        rows = []
+        for i in range(n):
+            edits = set(chance.integers(0, 150, 5).tolist())
+            rows.append((i, " ".join(f"edit{i}at{p}" if p in edits else w for p, w in enumerate(base))))
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        members = spark.sparkContext.accumulator(0)
+
+        def counted(batches):
+            for batch in batches:
+                members.add(len(batch.column(0).flatten()))
+                yield from compare(iter([batch]))
+
+        monkeypatch.setattr(passages, "BLOCK", block)
+        monkeypatch.setattr(passages, "_compare", counted)
+        split = {r.doc_id: r.class_id for r in passages.passage_classes(docs, Tables(spark)).collect()}
+        monkeypatch.setattr(passages, "BLOCK", 1000)
+        monkeypatch.setattr(passages, "_compare", compare)
+        whole = {r.doc_id: r.class_id for r in passages.passage_classes(docs, Tables(spark)).select("doc_id", "class_id").collect()}
+        assert split == whole and len(set(split.values())) < n / 4
+        return members.value
+
+    few, many = sent(100), sent(300)
+    print("members sent", few, many)
+    assert few > 200 and many < 5 * few  # all blocks with all blocks: about nine times as many

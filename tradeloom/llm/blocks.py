@@ -124,13 +124,16 @@ class Words:
         """
         counts = np.diff(self.bounds)
         n = len(self.hash)
-        full = np.zeros(n, dtype=np.uint64)
         steps = powers(SHINGLE_BASE, size)
-        for k in range(size):  # words past the text's end count as nothing
-            here = np.arange(n) + k
-            ok = here < n
-            ok[ok] = self.doc[here[ok]] == self.doc[ok]
-            full[ok] += self.hash[here[ok]] * steps[k]
+        full = self.hash * steps[0]
+        for k in range(1, min(size, n)):
+            full[: n - k] += self.hash[k:] * steps[k]
+        short = np.flatnonzero((counts > 0) & (counts < size))  # words past the text's end count as nothing
+        begin = self.bounds[short]
+        full[begin] = self.hash[begin] * steps[0]
+        for k in range(1, size - 1):
+            ok = counts[short] > k
+            full[begin[ok]] += self.hash[begin[ok] + k] * steps[k]
         per_text = np.where(counts >= size, counts - size + 1, (counts > 0).astype(np.int64))
         bounds = np.concatenate([[0], np.cumsum(per_text)])
         index = np.arange(bounds[-1]) - np.repeat(bounds[:-1], per_text) + np.repeat(self.bounds[:-1], per_text)

@@ -33,6 +33,7 @@ NEAR = math.ceil(PART / SIMILARITY) + THIN  # so a shared place sees one in so m
 WINDOW_BYTES = 500_000  # text whose windows are found at once
 ASKERS = 2000  # spans asked of one copy of a text
 BLOCK = 256  # members of one block of a group; blocks are compared in pairs
+PAIRS = 512  # pairs of members looked through at once
 CODE = 5  # bytes of a shingle's hash that are sent
 
 
@@ -151,25 +152,60 @@ def _join_places(batches):
         yield pa.RecordBatch.from_arrays([*batch.columns[:4], *(int_list(x, bounds, pa.int32()) for x in columns)], names)
 
 
-def hopeful(match: np.ndarray, place: int | None = None) -> np.ndarray:
+def hopeful(match: np.ndarray, place: np.ndarray | None = None) -> np.ndarray:
     """Which rows of ``match`` (shingles of a text that hold no repeats, found in each of several others) may hold a
-    passage (over ``place``): a part of LEAST shingles or more of which SIMILARITY are matched. Without one passages_of
-    finds nothing."""
+    passage (over the row's ``place``): a part of LEAST shingles or more of which SIMILARITY are matched. Without one
+    passages_of finds nothing."""
     if match.shape[1] < LEAST:
         return np.zeros(len(match), bool)
     over = np.zeros((len(match), match.shape[1] + 1), np.float32)
     np.cumsum(match - np.float32(SIMILARITY), axis=1, out=over[:, 1:])
-    lowest = np.minimum.accumulate(over[:, : over.shape[1] - LEAST], axis=1)
-    stops = over[:, LEAST:]
+    begin, stops = over[:, : over.shape[1] - LEAST], over[:, LEAST:]
     if place is not None:  # a part begins at the place or before and stops after it
-        lowest[:, place + 1 :] = lowest[:, min(place, lowest.shape[1] - 1)][:, None]
-        begun = max(0, place + 1 - LEAST)
-        lowest, stops = lowest[:, begun:], stops[:, begun:]
-    return (stops - lowest).max(axis=1) > -1e-2
+        column = np.arange(over.shape[1])
+        begin = np.where(column[: over.shape[1] - LEAST] <= place[:, None], begin, np.float32(np.inf))
+        stops = np.where(column[LEAST:] > place[:, None], stops, np.float32(-np.inf))
+    return (stops - np.minimum.accumulate(begin, axis=1)).max(axis=1) > -1e-2
+
+
+def close_over(match: np.ndarray, centre: np.ndarray) -> np.ndarray:
+    """Which rows of ``match`` have a part over their ``centre`` as long as a passage, with enough matches and no gap at
+    which passages_of cuts first."""
+    row, at = np.nonzero(match)
+    gap = (SPARE * np.bincount(row, minlength=len(match))).astype(np.int64)
+    first = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(at, prepend=-1) - 1 > gap[row]))
+    last = np.append(first[1:], len(row))[: len(first)] - 1
+    there = centre[row[first]]
+    long = (last + 1 - first >= LEAST_SHARED) & (at[last] + 1 - at[first] >= LEAST)
+    over = (at[first] <= there + THIN) & (at[last] >= there - SHINGLE_WORDS)
+    out = np.zeros(len(match), bool)
+    out[row[first[long & over]]] = True
+    return out
+
+
+def alike_over(there: np.ndarray, centre: np.ndarray) -> np.ndarray:
+    """Which rows of ``there`` may hold a passage over their ``centre``, for texts in which no shingle comes twice: the
+    places in another text of each shingle (-1: none). A part that begins and ends with a match has to be as long as a
+    passage, and its matches have to outweigh what both texts hold between them.
+
+    Where matches are moved about by more than SHIFT, single_passages may look at some of them only; such rows stay.
+    """
+    if there.shape[1] < LEAST:
+        return np.zeros(len(there), bool)
+    match = there >= 0
+    column = np.arange(there.shape[1], dtype=np.int32)
+    shift = there - column
+    far = np.where(match, shift, -(1 << 20)).max(axis=1) - np.where(match, shift, 1 << 20).min(axis=1) > SHIFT
+    over = np.cumsum(match, axis=1, dtype=np.float32)
+    over *= np.float32(1 + SIMILARITY)
+    over -= np.float32(SIMILARITY) * (shift + 2 * column)
+    begin = np.where(match & (column <= centre[:, None] + THIN), over, np.float32(np.inf))[:, : 1 - LEAST]
+    stops = np.where(match & (column >= centre[:, None] - SHINGLE_WORDS), over, np.float32(-np.inf))[:, LEAST - 1 :]
+    return far | ((stops - np.minimum.accumulate(begin, axis=1)).max(axis=1) > SIMILARITY - 1 - 1e-2)
 
 
-LIGHT = "id long, row long, h long, c int, class long, open boolean, asks boolean, d long, size int"
-MEMBER = "id long, row long, h long, c int, class long, open boolean, asks boolean, d long, a_blocks long, b_blocks long, near binary"
+LIGHT = "id long, row long, h long, c int, before int, after int, class long, open boolean, asks boolean, d long, size int"
+MEMBER = "id long, row long, h long, c int, before int, after int, class long, open boolean, asks boolean, d long, blocks long, near binary"
 
 
 def surroundings(plain: DataFrame, members: DataFrame, kinds: str) -> DataFrame:
@@ -209,94 +245,132 @@ def _root(parent: dict, node: int) -> int:
     return node
 
 
-def _single(known: dict, member: int, near: list) -> bool:
-    if member not in known:
-        known[member] = len(np.unique(near[member])) == len(near[member])
-    return known[member]
+def _places(codes: np.ndarray, text: np.ndarray, spot: np.ndarray, group: np.ndarray):
+    """Where the shingles of each member stand in any other member of its group.
+
+    Gives a table of places, the first cell of each member in it, the column of each shingle (-1: no other has it; the
+    place of a shingle in a member is in the member's first cell and so many on, -1: it has none) and the members in
+    which no shingle comes twice.
+    """
+    owner = group[text]
+    values, number, counts = np.unique(codes | owner.astype(np.uint64) << np.uint64(8 * CODE), return_inverse=True, return_counts=True)
+    shared = counts > 1
+    kept = np.cumsum(shared) - shared  # numbers of the shared ones alone
+    width = np.bincount((values[shared] >> np.uint64(8 * CODE)).astype(np.int64), minlength=int(group[-1]) + 1)
+    column = np.where(shared[number], kept[number] - (np.cumsum(width) - width)[owner], -1)
+    cells = np.cumsum(width[group])
+    first = cells - width[group]
+    table = np.full(int(cells[-1]) + 1, -1, np.int16)
+    held = np.flatnonzero(column >= 0)
+    at = first[text[held]] + column[held]
+    table[at[::-1]] = spot[held][::-1]  # of a shingle that comes twice the first place
+    again = np.bincount(text[held], weights=table[at] != spot[held], minlength=len(group))
+    return table, first, column, again == 0
+
+
+def _common(text: np.ndarray, column: np.ndarray, asks: np.ndarray, there: np.ndarray) -> np.ndarray:
+    """How many shingles (of these columns) of each asking member any other one has, for many pairs at once."""
+    both = np.zeros((len(asks), len(asks)), np.float32)
+    for start in range(0, int(column.max(initial=-1)) + 1, 1024):
+        here = (column >= start) & (column < start + 1024)
+        counts = np.bincount(text[here] * 1024 + column[here] - start, minlength=len(asks) * 1024)
+        counts = counts.reshape(-1, 1024).astype(np.float32)
+        both[np.ix_(asks, there)] += counts[asks] @ (counts[there] > 0).astype(np.float32).T
+    return both
 
 
 def _compare(batches):
     """FOUND rows of two blocks of a group: a later member is compared with the smaller ones of other classes, and
-    with all of them as long as its place lies in no passage. Classes that a passage links are one from then on.
+    with all of them as long as its place lies in no passage. Classes that a passage links are one from then on. A member
+    that heeds is compared with the smaller ones that ask and are not there.
 
     Only members that share LEAST_SHARED places around the common one, and enough of them close together, are
-    compared exactly.
+    compared exactly. Small groups are looked through together, pairs in slices.
     """
     for batch in batches:
         out = []
-        for k in range(batch.num_rows):
-            rows = batch.column(0)[k].values
-            get = {f.name: rows.field(f.name) for f in rows.type}
-            asks, there, is_open = (get[n].to_numpy(zero_copy_only=False) for n in ("asks", "there", "open"))
-            ids, text_row, classes, centre = (get[n].to_numpy() for n in ("id", "row", "class", "c"))
-            near = [decoded(x) for x in get["near"].to_pylist()]
-            later, first = np.flatnonzero(asks), np.flatnonzero(there)
-            wanted = ids[first][None, :] < ids[later][:, None]
-            wanted &= is_open[later][:, None] | (classes[first][None, :] != classes[later][:, None])
-            used, told = wanted.any(axis=1), wanted.any(axis=0)
-            later, first, wanted = later[used], first[told], wanted[np.ix_(used, told)]
-            if not len(later):
-                continue
-            seen = np.unique(np.concatenate([near[y] for y in first]))
-            columns = {x: np.minimum(np.searchsorted(seen, near[x]), len(seen) - 1) for x in {*later, *first}}
-            held = {x: seen[columns[x]] == near[x] for x in later}
-            used = np.array([np.count_nonzero(held[x]) >= LEAST_SHARED for x in later])
-            later, wanted = later[used], wanted[used]
-            if not len(later):
-                continue
-            asked = np.unique(np.concatenate([columns[x][held[x]] for x in later]))
-            number = np.full(len(seen), len(asked))  # the last column stands for shingles that the other side has not
-            number[asked] = np.arange(len(asked))
-            has = np.zeros((len(first), len(asked) + 1), bool)
-            for i, y in enumerate(first):
-                has[i, number[columns[y]]] = True
-            has[:, -1] = False
-            both = np.zeros(wanted.shape, np.float32)
-            counts = [np.bincount(number[columns[x][held[x]]], minlength=len(asked)).astype(np.float32) for x in later]
-            for start in range(0, len(asked), 4096):
-                part = has[:, start : min(start + 4096, len(asked))].astype(np.float32)
-                both += np.stack([x[start : start + 4096] for x in counts]) @ part.T
-            parent: dict[int, int] = {}
-            single: dict[int, bool] = {}  # members in which no shingle comes twice
-            there = np.full(len(seen), -1)  # places of shingles in the member compared with
-            for i, x in enumerate(later):
-                alike = np.flatnonzero(wanted[i] & (both[i] >= LEAST_SHARED))
-                if not len(alike):
-                    continue
-                start = max(0, int(centre[x]) - NEAR)
-                if _single(single, x, near):
-                    placed = np.where(held[x], number[columns[x]], len(asked))
-                    alike = alike[hopeful(has[np.ix_(alike, placed)], int(centre[x]) - start)]
-                explained = not is_open[x]
-                for y in first[alike[np.argsort(ids[first[alike]], kind="stable")]]:
-                    mine, other = _root(parent, int(classes[x])), _root(parent, int(classes[y]))
-                    if explained and mine == other:
-                        continue
-                    if _single(single, x, near) and _single(single, y, near):
-                        there[columns[y]] = np.arange(len(near[y]))
-                        place = np.where(held[x], there[columns[x]], -1)
-                        there[columns[y]] = -1
-                        hits = np.flatnonzero(place >= 0)
-                        passages = single_passages(hits, place[hits])
-                    else:
-                        passages = passages_of(near[x], near[y])
-                    passages = [(start + p, start + q + SHINGLE_WORDS - 1, s) for p, q, s in passages]
-                    # A passage elsewhere has common places of its own.
-                    passages = [(p, q, s) for p, q, s in passages if p <= centre[x] + THIN and q >= centre[x]]
-                    if passages:
-                        parent[max(mine, other)] = min(mine, other)
-                        explained |= any(p <= centre[x] and centre[x] + PROBE_WORDS <= q for p, q, _ in passages)
-                        kept = [{"from": p, "to": q, "similarity": s} for p, q, s in passages]
-                        out.append({"b": ids[x], "b_row": text_row[x], "a": ids[y], "a_row": text_row[y], "passages": kept})
+        groups = batch.column(0)
+        edges = groups.offsets.to_numpy().astype(np.int64)
+        edges -= edges[0]
+        members = groups.flatten()
+        packs = np.flatnonzero(np.diff(edges[:-1] // BLOCK, prepend=-1, append=-1))
+        for i, j in zip(packs, packs[1:]):
+            pack = members.slice(edges[i], edges[j] - edges[i])
+            out.extend(_compare_pack(pack, np.repeat(np.arange(j - i), np.diff(edges[i : j + 1]))))
         yield pa.RecordBatch.from_pylist(out, FOUND_KIND)
 
 
+def _compare_pack(members: pa.StructArray, group: np.ndarray):
+    get = dict(zip([f.name for f in members.type], members.flatten()))
+    asks, there, heeds, is_open = (get[n].to_numpy(zero_copy_only=False) for n in ("asks", "there", "heeds", "open"))
+    ids, text_row, classes, centre = (get[n].to_numpy() for n in ("id", "row", "class", "c"))
+    by_id = np.argsort(ids, kind="stable")
+    wanted = asks[:, None] & there[by_id] | heeds[:, None] & (asks & ~there)[by_id]
+    wanted &= (group[:, None] == group[by_id]) & (ids[by_id] < ids[:, None])
+    wanted &= is_open[:, None] | (classes[by_id] != classes[:, None])
+    later, first = np.nonzero(wanted)
+    first = by_id[first]
+    if not len(later):
+        return
+    near = get["near"].to_pylist()
+    sizes = np.array([len(x) // CODE for x in near])
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    codes = decoded(b"".join(near))
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    spot = np.arange(len(codes)) - bounds[text]
+    table, cell, column, single = _places(codes, text, spot, group)
+    columns = np.full((len(sizes), int(sizes.max())), -1, np.int32)
+    columns[text, spot] = column
+    if len(later) > 8 * PAIRS and group[-1] == 0 and column.max() < 8192:
+        held = np.flatnonzero(column >= 0)
+        enough = _common(text[held], column[held], asks | heeds, asks | there)[later, first] >= LEAST_SHARED
+        later, first = later[enough], first[enough]
+    begun = np.maximum(0, centre - NEAR)
+    parent: dict[int, int] = {}
+    roots, explained = classes, ~is_open
+    for start in range(0, len(later), PAIRS):
+        xs, ys = later[start : start + PAIRS], first[start : start + PAIRS]
+        open_pairs = ~explained[xs] | (roots[xs] != roots[ys])
+        xs, ys = xs[open_pairs], ys[open_pairs]
+        where = columns[xs]
+        where = np.where(where >= 0, table[cell[ys][:, None] + where], -1)
+        match = where >= 0
+        likely = np.count_nonzero(match, axis=1) >= LEAST_SHARED
+        likely[likely] = close_over(match[likely], (centre - begun)[xs[likely]])
+        both, one = likely & single[xs] & single[ys], likely & single[xs] & ~single[ys]
+        likely[both] = alike_over(where[both], (centre - begun)[xs[both]])
+        likely[one] = hopeful(match[one], (centre - begun)[xs[one]])
+        linked = False
+        for k in np.flatnonzero(likely):
+            x, y = xs[k], ys[k]
+            mine, other = _root(parent, int(classes[x])), _root(parent, int(classes[y]))
+            if explained[x] and mine == other:
+                continue
+            if single[x] and single[y]:
+                hits = np.flatnonzero(match[k])
+                passages = single_passages(hits, where[k][hits].astype(np.int64))
+            else:
+                passages = passages_of(codes[bounds[x] : bounds[x + 1]], codes[bounds[y] : bounds[y + 1]])
+            passages = [(int(begun[x]) + p, int(begun[x]) + q + SHINGLE_WORDS - 1, s) for p, q, s in passages]
+            # A passage elsewhere has common places of its own.
+            passages = [(p, q, s) for p, q, s in passages if p <= centre[x] + THIN and q >= centre[x]]
+            if passages:
+                linked |= mine != other
+                parent[max(mine, other)] = min(mine, other)
+                explained[x] |= any(p <= centre[x] and centre[x] + PROBE_WORDS <= q for p, q, _ in passages)
+                kept = [{"from": p, "to": q, "similarity": s} for p, q, s in passages]
+                yield {"b": ids[x], "b_row": text_row[x], "a": ids[y], "a_row": text_row[y], "passages": kept}
+        if linked:
+            roots = np.array([_root(parent, c) for c in classes.tolist()])
+
+
 def group_passages(plain: DataFrame, shared: DataFrame, found: DataFrame, tables: Tables) -> DataFrame:
     """FOUND rows of the places (id, row, h, c, before, after) that the passages ``found`` leave open: a place lies in no
     passage yet, or places that share a run are in documents of several classes.
 
-    Such members are compared in pairs of blocks of their hash group. Those with equal surroundings are one, the one
-    of the smallest id; the others repeat it.
+    Such members are compared in blocks of their hash group: first each block in itself, then, where places still lie in
+    no passage or runs are still in several classes, in pairs of blocks. Those with equal surroundings are one, the
+    one of the smallest id; the others repeat it.
     """
     classes = components(found.select(F.col("b").alias("a"), F.col("a").alias("b")), tables)
     classes = tables.put(classes.select(F.col("node").alias("id"), F.col("component").alias("class")))
@@ -306,7 +380,7 @@ def group_passages(plain: DataFrame, shared: DataFrame, found: DataFrame, tables
     members = shared.join(covered, ["id", "row"], "left").withColumn("bare", ~F.coalesce(explained, F.lit(False)))
     members = members.join(classes, "id", "left").withColumn("class", F.coalesce("class", "id"))
     members = tables.put(members.select("id", "row", "h", "c", "before", "after", "bare", "class"))
-    tables.drop(shared, classes)
+    tables.drop(shared)
     runs = []
     for side in ("before", "after"):
         run = members.groupBy("h", side).agg(
@@ -321,7 +395,7 @@ def group_passages(plain: DataFrame, shared: DataFrame, found: DataFrame, tables
     is_open = F.coalesce(F.col("bare") & (F.col("id") > F.least("before_least", "after_least")), F.lit(False))
     left = left.withColumn("open", is_open)
     mixed = F.coalesce("before_mixed", F.lit(False)) | F.coalesce("after_mixed", F.lit(False))
-    left = left.select("id", "row", "h", "c", "class", "open", (F.col("open") | mixed).alias("asks"))
+    left = left.select("id", "row", "h", "c", "before", "after", "class", "open", (F.col("open") | mixed).alias("asks"))
     left = tables.put(left)
     tables.drop(members, *runs)
     members = left
@@ -330,7 +404,7 @@ def group_passages(plain: DataFrame, shared: DataFrame, found: DataFrame, tables
     # Surroundings in which a whole passage fits make their texts alike; shorter ones are compared each for itself.
     cut = tables.put(cut.withColumn("d", F.when(F.col("size") >= LEAST, F.col("d")).otherwise(F.xxhash64("d", "id", "row", "c"))))
     tables.drop(members)
-    least = cut.groupBy("h", "d").agg(F.min(F.struct("id", "row", "c", "class", "open", "asks")).alias("least"), F.count("*").alias("n"))
+    least = cut.groupBy("h", "d").agg(F.min(F.struct("id", "row", "c", "before", "after", "class", "open", "asks")).alias("least"), F.count("*").alias("n"))
     least = tables.put(least)
     low = F.greatest(F.lit(0), F.col("c") - NEAR)
     span = F.struct(
@@ -343,23 +417,60 @@ def group_passages(plain: DataFrame, shared: DataFrame, found: DataFrame, tables
     )
     copies = tables.put(copies.distinct())
     groups = least.groupBy("h").agg(F.count("*").alias("n"), F.count_if("least.asks").alias("u")).where("n > 1 AND u > 0")
-    blocks = [F.ceil(F.col(n) / BLOCK).alias(name) for n, name in (("n", "a_blocks"), ("u", "b_blocks"))]
-    others = least.select("h", "d", "least.*").join(groups.select("h", *blocks), "h")
+    others = least.select("h", "d", "least.*").join(groups.select("h", F.ceil(F.col("n") / BLOCK).alias("blocks")), "h")
     others = tables.put(surroundings(plain, others, MEMBER))
     tables.drop(cut, least)
+    sent = F.struct("asks", "there", "heeds", "id", "row", "c", "class", "open", "near")
+
+    def compared(blocks: DataFrame, *keys: str) -> DataFrame:
+        grouped = blocks.groupBy(*keys).agg(F.collect_list(sent).alias("members"))
+        grouped = grouped.where(F.exists("members", lambda m: m["asks"]) & (F.size("members") > 1))
+        return grouped.select("members").mapInArrow(_compare, FOUND)
+
     place = lambda n: F.pmod(F.xxhash64("d"), F.col(n))
+    yes, no = F.lit(True), F.lit(False)
+    block = others.withColumn("i", place("blocks")).withColumn("there", yes).withColumn("heeds", no)
+    inside = tables.put(compared(block, "h", "i"))
+    if others.where("blocks > 1").isEmpty():
+        return copies.unionAll(inside)
+    wide = others.where("blocks > 1")
+    asking = tables.put(still_asking(wide.drop("near"), copies.unionAll(inside), classes, tables))
+    groups = asking.groupBy("h").agg(F.count("*").alias("n"), F.count_if("asks").alias("u")).where("u > 0")
+    groups = groups.select("h", *(F.ceil(F.col(n) / BLOCK).alias(name) for n, name in (("n", "a_blocks"), ("u", "b_blocks"))))
+    again = asking.join(groups, "h").join(wide.select("id", "row", "h", "c", "near"), ["id", "row", "h", "c"])
     each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    fields = ["id", "row", "c", "class", "open", "near"]
-    one, yes, no = F.col("a_blocks") == 1, F.lit(True), F.lit(False)  # in a group of one block a member is sent once
-    here = F.lit(0).cast("long")
-    alone = others.where(one).select("h", here.alias("i"), here.alias("j"), "asks", yes.alias("there"), *fields)
-    later = others.where(~one & F.col("asks")).select("h", place("b_blocks").alias("i"), each("a_blocks").alias("j"), yes.alias("asks"), no.alias("there"), *fields)
-    first = others.where(~one).select("h", each("b_blocks").alias("i"), place("a_blocks").alias("j"), no.alias("asks"), yes.alias("there"), *fields)
-    grouped = alone.unionAll(later).unionAll(first).groupBy("h", "i", "j")
-    grouped = grouped.agg(F.collect_list(F.struct("asks", "there", *fields)).alias("members")).where(
-        F.exists("members", lambda m: m["asks"]) & (F.size("members") > 1)
-    )
-    return copies.unionAll(grouped.select("members").mapInArrow(_compare, FOUND))
+    later = again.where("asks").withColumns({"there": no, "heeds": no, "i": place("b_blocks"), "j": each("a_blocks")})
+    first = again.withColumns({"heeds": ~F.col("asks"), "asks": no, "there": yes, "i": each("b_blocks"), "j": place("a_blocks")})
+    return copies.unionAll(inside).unionAll(compared(later.unionAll(first), "h", "i", "j"))
+
+
+def still_asking(members: DataFrame, found: DataFrame, classes: DataFrame, tables: Tables) -> DataFrame:
+    """``members`` of groups of several blocks with class, open and asks as they are after ``found``, the rows of equal
+    surroundings and of each block compared in itself: of many texts that repeat each other few ask the other blocks.
+
+    Of two classes one is not the group's largest; its members ask, and the others heed them.
+    """
+    links = found.select("b", "a").distinct()
+    for n in ("b", "a"):
+        own = classes.select(F.col("id").alias(n), F.col("class").alias(f"{n}_class"))
+        links = links.join(own, n, "left").withColumn(f"{n}_class", F.coalesce(f"{n}_class", n))
+    merged = components(links.select(F.col("b_class").alias("a"), F.col("a_class").alias("b")), tables)
+    merged = merged.select(F.col("node").alias("class"), F.col("component").alias("now"))
+    covered = found.groupBy(F.col("b").alias("id"), F.col("b_row").alias("row"))
+    covered = covered.agg(F.array_distinct(F.flatten(F.collect_list("passages"))).alias("covered"))
+    explained = F.exists("covered", lambda p: (p["from"] <= F.col("c")) & (p["to"] >= F.col("c") + PROBE_WORDS))
+    now = members.join(merged, "class", "left").withColumn("class", F.coalesce("now", "class")).drop("now")
+    now = now.join(covered, ["id", "row"], "left")
+    now = tables.put(now.withColumn("open", F.col("open") & ~F.coalesce(explained, F.lit(False))).drop("covered"))
+    sizes = now.groupBy("h", "class").agg(F.count("*").alias("n"))
+    told = now.join(sizes.groupBy("h").agg(F.max_by("class", F.struct("n", "class")).alias("main")), "h")
+    mixed = F.lit(False)
+    for side in ("before", "after"):
+        run = now.groupBy("h", side).agg((F.min("class") < F.max("class")).alias(f"{side}_mixed")).where(f"{side}_mixed")
+        told = told.join(run, ["h", side], "left")
+        mixed |= F.coalesce(f"{side}_mixed", F.lit(False))
+    asks = F.col("open") | (mixed & (F.col("class") != F.col("main")))
+    return told.withColumn("asks", asks).select("id", "row", "h", "c", "class", "open", "asks", "d")
 
 
 def _alike_at_large(own: np.ndarray, a: np.ndarray) -> float:
@@ -370,6 +481,36 @@ def _alike_at_large(own: np.ndarray, a: np.ndarray) -> float:
     return both / max(1, len(own) + len(there) - both)
 
 
+def _run_passages(hits: np.ndarray, place: np.ndarray) -> list[tuple[int, int, float]]:
+    """single_passages of matches that are in order and hardly moved: by unbroken runs, as none of them is left out."""
+    steps = np.diff(hits) - 1
+    cuts = np.flatnonzero(steps)
+    gaps = steps[cuts].tolist()
+    begin, end = [0, *(cuts + 1).tolist()], [*(cuts + 1).tolist(), len(hits)]
+    low, high = hits[begin].tolist(), [x + 1 for x in hits[[x - 1 for x in end]].tolist()]
+    a_low, a_high = place[begin].tolist(), [x + 1 for x in place[[x - 1 for x in end]].tolist()]
+    out = []
+    left = [(0, len(begin), int(SPARE * len(hits)))]
+    while left:
+        u, v, gap = left.pop()
+        both, own = end[v - 1] - begin[u], high[v - 1] - low[u]
+        if both < SIMILARITY * LEAST or own < LEAST:
+            continue
+        wide = [w for w in range(u + 1, v) if gaps[w - 1] > gap]
+        if wide:
+            left.extend((x, y, gap) for x, y in zip([u, *wide], [*wide, v]))
+            continue
+        if both >= SIMILARITY * own:
+            alike = both / (own + a_high[v - 1] - a_low[u] - both)
+            if alike >= SIMILARITY:
+                out.append((low[u], high[v - 1], alike))
+                continue
+        widest = max(gaps[u : v - 1], default=0)
+        if widest:
+            left.append((u, v, min(widest - 1, gap * 3 // 4)))
+    return sorted(out)
+
+
 def single_passages(hits: np.ndarray, place: np.ndarray) -> list[tuple[int, int, float]]:
     """passages_of two texts in which no shingle comes twice: ``hits`` are the places of the common ones in the first
     text, ``place`` in the second. Sets of shingles are then as large as their stretches are long."""
@@ -380,6 +521,9 @@ def single_passages(hits: np.ndarray, place: np.ndarray) -> list[tuple[int, int,
         lowest = np.minimum.accumulate(over[: len(over) - LEAST_SHARED + 1])
         if (over[LEAST_SHARED - 1 :] - lowest).max() < SIMILARITY - 1 - 1e-6:
             return []
+        shift = place - hits
+        if int(shift.max()) - int(shift.min()) <= SHIFT:
+            return _run_passages(hits, place)
     steps, shift, out = np.diff(hits) - 1, place - hits, []
     left = [(0, len(hits), int(SPARE * len(hits)))]
     while left:
