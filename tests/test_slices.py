@@ -12,6 +12,7 @@ from verification.catalog import QUERIES
 
 SLICED = [
     "harmonized",
+    "coverage_summary",
 ]
 
 
