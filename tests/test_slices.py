@@ -13,6 +13,7 @@ from verification.catalog import QUERIES
 SLICED = [
     "harmonized",
     "coverage_summary",
+    "matrix_to_long",
 ]
 
 
