@@ -14,6 +14,7 @@ SLICED = [
     "harmonized",
     "coverage_summary",
     "matrix_to_long",
+    "matrix_landing",
 ]
 
 
