@@ -15,6 +15,7 @@ SLICED = [
     "coverage_summary",
     "matrix_to_long",
     "matrix_landing",
+    "hierarchy_leaves",
 ]
 
 
