@@ -16,6 +16,7 @@ SLICED = [
     "matrix_to_long",
     "matrix_landing",
     "hierarchy_leaves",
+    "product_classify",
 ]
 
 
