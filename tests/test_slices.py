@@ -19,6 +19,7 @@ SLICED = [
     "product_classify",
     "dim_product_master",
     "product_version_on_date",
+    "span_expand",
 ]
 
 
